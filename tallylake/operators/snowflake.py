@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallylake.operators import star, validity
+from tallylake.schema import Tables
+
 
 def brand_key(brand: Column) -> Column:
     """Key derived from the name, so it is the same in every run and needs no numbering."""
@@ -40,12 +43,16 @@ def dim_time(movements: DataFrame, moment: str = "data_movimentacao") -> DataFra
     )
 
 
-def expand(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The star's tables with brand and day moved into their own dimensions."""
-    card, fact = star["dim_cartao"], star["fato_movimentacao"]
-    return star | {
-        "dim_bandeira": dim_brand(card),
-        "dim_tempo": dim_time(fact),
+def build(tables: Tables) -> dict[str, DataFrame]:
+    """The star's tables with brand and day moved into their own dimensions.
+
+    Days are taken from the valid transactions themselves, before any join.
+    """
+    tables_of_star = star.build(tables)
+    card, fact = tables_of_star["dim_cartao"], tables_of_star["fato_movimentacao"]
+    return tables_of_star | {
+        "dim_bandeira": dim_brand(tables.cards),
+        "dim_tempo": dim_time(validity.valid_rows(tables.movements)),
         "dim_cartao": card.withColumn("id_bandeira", brand_key(F.col("bandeira"))).drop(
             "bandeira"
         ),

@@ -70,9 +70,14 @@ def write_star(tables: dict[str, DataFrame], layout: Layout) -> None:
 def run(
     tables: Tables, output: str, run_id: str | None = None, with_csv: bool = True
 ) -> Outcome:
-    """Run everything and return what was measured. Rerunning replaces the outputs."""
+    """Run everything and return what was measured. Rerunning replaces the outputs.
+
+    The report is removed first and written last, so its presence says that the
+    other outputs are complete, also after a run that was cut short.
+    """
     spark = tables.movements.sparkSession
     layout = Layout(output.rstrip("/"))
+    storage.remove(spark, layout.report)
 
     quality = profile.measure(tables.movements, BUSINESS_KEY)
     document = quality.document()

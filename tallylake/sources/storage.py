@@ -46,6 +46,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path if it is there."""
+    fs, target = _path(spark, path)
+    fs.delete(target, True)
+
+
 def require(spark: SparkSession, paths: Iterable[str]) -> None:
     """Raise unless every path exists."""
     missing = [p for p in paths if not exists(spark, p)]

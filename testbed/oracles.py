@@ -390,15 +390,22 @@ ORACLES: dict[str, str] = {
     "dim_bandeira": _with(
         "cartao", "SELECT DISTINCT md5(bandeira) AS id_bandeira, bandeira FROM cartao"
     ),
+    "fato_com_data": _with(
+        "fato cartao",
+        """SELECT f.id_movimentacao, f.id_cartao, md5(c.bandeira) AS id_bandeira,
+                  CAST(year(f.data_movimentacao) * 10000 + month(f.data_movimentacao) * 100
+                       + day(f.data_movimentacao) AS INTEGER) AS id_data
+           FROM fato f JOIN cartao c ON f.id_cartao = c.id""",
+    ),
     "dim_tempo": _with(
-        "fato",
+        "valida",
         """SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS id_data,
                   CAST(d AS DATE) AS data, CAST(year(d) AS INTEGER) AS ano,
                   CAST(quarter(d) AS INTEGER) AS trimestre, CAST(month(d) AS INTEGER) AS mes,
                   CAST(day(d) AS INTEGER) AS dia, CAST(isodow(d) AS INTEGER) AS dia_semana
            FROM (SELECT unnest(generate_series(
-                     (SELECT date_trunc('day', min(data_movimentacao)) FROM fato),
-                     (SELECT date_trunc('day', max(data_movimentacao)) FROM fato),
+                     (SELECT date_trunc('day', min(data_movimentacao)) FROM valida),
+                     (SELECT date_trunc('day', max(data_movimentacao)) FROM valida),
                      INTERVAL 1 DAY)) AS d)""",
     ),
     "brand_mart": _with(

@@ -221,12 +221,21 @@ def fato_movimentacao(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_bandeira(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snowflake.expand(star.build(fixtures.load(spark, sf_dir)))["dim_bandeira"]
+    return snowflake.build(fixtures.load(spark, sf_dir))["dim_bandeira"]
 
 
 @query
 def dim_tempo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snowflake.expand(star.build(fixtures.load(spark, sf_dir)))["dim_tempo"]
+    return snowflake.build(fixtures.load(spark, sf_dir))["dim_tempo"]
+
+
+@query
+def fato_com_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snowflake's fact and card dimension, joined on their new keys."""
+    tables = snowflake.build(fixtures.load(spark, sf_dir))
+    card = tables["dim_cartao"].select("id_cartao", "id_bandeira")
+    fact = tables["fato_movimentacao"].select("id_movimentacao", "id_cartao", "id_data")
+    return fact.join(card, "id_cartao", "inner")
 
 
 # --- marts and report tables -------------------------------------------------

@@ -1,0 +1,197 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallylake import session, workspace
+from tallylake.schema import INTERACTION, SPECS
+from tallylake.sources import documents, files, relational, storage
+from testbed import fixtures
+
+# --- relational: options only, no database is started ---------------------------
+
+ENV = {
+    "DB_HOST": "db",
+    "DB_PORT": "5432",
+    "DB_NAME": "bank",
+    "DB_USER": "u",
+    "DB_PASSWORD": "secret",
+}
+
+
+def test_source_from_environment():
+    source = relational.RelationalSource.from_environment(ENV)
+    assert source.url == "jdbc:postgresql://db:5432/bank"
+    assert "secret" not in repr(source)
+    options = relational.scan_options(source, "conta")
+    assert options["dbtable"] == "conta"
+    assert options["user"] == "u" and options["password"] == "secret"
+    assert options["driver"] == "org.postgresql.Driver"
+    assert "partitionColumn" not in options
+
+
+def test_missing_settings_are_named():
+    with pytest.raises(KeyError, match="DB_HOST"):
+        relational.RelationalSource.from_environment({"DB_PORT": "1", "DB_NAME": "x"})
+
+
+def test_scan_is_cut_over_the_key():
+    source = relational.RelationalSource.from_environment(ENV)
+    options = relational.scan_options(
+        source, "movimentacao", relational.KeyRange("id", 1, 1_000_001, 200)
+    )
+    assert options["partitionColumn"] == "id"
+    assert (options["lowerBound"], options["upperBound"]) == ("1", "1000001")
+    assert options["numPartitions"] == "200"
+
+
+def test_session_settings_hold_both_packages():
+    conf = session.settings([session.RELATIONAL_PACKAGE, session.DOCUMENT_PACKAGE], "mongodb://m/db", 64)
+    assert conf["spark.jars.packages"].count(",") == 1
+    assert "_2.13" in conf["spark.jars.packages"]
+    assert conf["spark.sql.shuffle.partitions"] == "64"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert "spark.jars.packages" not in session.settings()
+
+
+# --- documents -------------------------------------------------------------------
+
+
+def test_documents_keep_their_nested_field(spark, tmp_path):
+    (tmp_path / "a.json").write_text(
+        '{"associado_id": 1, "canal": "app", "metadata": {"dispositivo": "ios", "satisfacao": 5}}\n'
+        '{"associado_id": 2, "extra": [1, 2]}\n'
+    )
+    log = documents.read_json_lines(spark, str(tmp_path))
+    rows = {r.associado_id: r for r in log.collect()}
+    assert rows[1].metadata.satisfacao == 5
+    assert rows[2].metadata is None
+    assert log.schema == SPECS[INTERACTION].struct
+
+
+def test_empty_collection_still_has_its_columns(spark, tmp_path):
+    (tmp_path / "a.json").write_text("")
+    log = documents.read_json_lines(spark, str(tmp_path))
+    assert "associado_id" in log.columns
+    assert log.groupBy("associado_id").count().count() == 0
+
+
+# --- files -----------------------------------------------------------------------
+
+
+def test_csv_keeps_every_kind_of_text(spark, tmp_path):
+    values = ['say "hi"', "a,b", "line\nbreak", "  spaces  ", "back\\slash", "", None, '"', "ção"]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string")
+    storage.write_csv(df.repartition(3), str(tmp_path / "c"))
+    back = files.read_csv(spark, str(tmp_path / "c"))
+    assert {int(r.i): r.v for r in back.collect()} == dict(enumerate(values))
+
+
+def test_csv_without_schema_is_text(spark, tmp_path):
+    storage.write_csv(spark.range(3), str(tmp_path / "c"))
+    assert files.read_csv(spark, str(tmp_path / "c")).dtypes == [("id", "string")]
+    assert files.read_csv(spark, str(tmp_path / "c"), spark.range(1).schema).dtypes == [
+        ("id", "bigint")
+    ]
+
+
+def test_single_csv_is_one_ordered_file(spark, tmp_path):
+    import csv
+
+    path = str(tmp_path / "out.csv")
+    df = spark.range(100).repartition(7)
+    for _ in range(2):  # the second export replaces the first
+        storage.export_csv(df, path, [F.desc("id")])
+    with open(path, newline="", encoding="utf-8") as f:
+        ids = [int(r["id"]) for r in csv.DictReader(f)]
+    assert ids == list(range(99, -1, -1))
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["out.csv"]
+
+
+def test_single_parquet_is_one_file(spark, tmp_path):
+    path = str(tmp_path / "out.parquet")
+    storage.export_parquet(spark.range(10), path)
+    assert (tmp_path / "out.parquet").is_file()
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_large_result_is_not_squeezed_into_one_file(spark, tmp_path):
+    with pytest.raises(ValueError, match="more than 5 rows"):
+        storage.export_csv(spark.range(6), str(tmp_path / "x.csv"), max_rows=5)
+    assert not (tmp_path / "x.csv").exists()
+
+
+def test_report_defaults(spark, tmp_path):
+    path = str(tmp_path / "r.json")
+    storage.write_document(spark, {}, path)
+    row = files.read_report(spark, path).first()
+    assert row.movimentacoes_invalidas_descartadas_pct == 0.0
+    assert (row.total_registros, row.total_duplicados, row.percentual_duplicados) == (0, 0, 0.0)
+    assert row.percentual_nulos_por_coluna == {}
+
+
+def test_report_document_is_readable_json(spark, tmp_path):
+    path = str(tmp_path / "r.json")
+    document = {"movimentacoes_invalidas_descartadas_pct": 4.0, "nota": "ATENÇÃO"}
+    storage.write_document(spark, document, path)
+    assert json.loads((tmp_path / "r.json").read_text(encoding="utf-8")) == document
+    assert "ATENÇÃO" in (tmp_path / "r.json").read_text(encoding="utf-8")
+
+
+def test_missing_outputs_are_named(spark, tmp_path):
+    (tmp_path / "here").mkdir()
+    storage.require(spark, [str(tmp_path / "here")])
+    with pytest.raises(FileNotFoundError, match="gone"):
+        storage.require(spark, [str(tmp_path / "here"), str(tmp_path / "gone")])
+
+
+def test_only_the_given_partitions_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    storage.replace_partitions(
+        spark.createDataFrame([(1, "a"), (2, "b")], "v int, run string"), path, ["run"]
+    )
+    storage.replace_partitions(spark.createDataFrame([(3, "b")], "v int, run string"), path, ["run"])
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(1, "a"), (3, "b")}
+
+
+def test_fact_months_are_few_files(spark, sf_dir, tmp_path):
+    df = fixtures.movements(spark, sf_dir)
+    storage.write_by_month(df, str(tmp_path / "f"), "data_movimentacao")
+    months = [p for p in (tmp_path / "f").iterdir() if p.name.startswith("mes=")]
+    assert len(months) > 12
+    assert max(len(list(m.glob("*.parquet"))) for m in months) == 1
+    back = spark.read.parquet(str(tmp_path / "f"))
+    assert back.count() == df.count()
+    plan = back.where("mes = '1998-05'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(mes" in plan
+
+
+def test_landed_copy_equals_the_sources(spark, sf_dir, tmp_path):
+    tables = fixtures.load(spark, sf_dir)
+    copy = files.land(tables, str(tmp_path))
+    for name, df in tables.by_name().items():
+        landed = copy.by_name()[name]
+        assert landed.dtypes == df.dtypes
+        assert landed.exceptAll(df).count() == 0 and landed.count() == df.count()
+
+
+# --- shared folder -----------------------------------------------------------------
+
+
+class FakeSession:
+    def __init__(self, **conf):
+        self.conf = {k.replace("__", "."): v for k, v in conf.items()}
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert workspace.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert workspace.new_folder(spark, "x") != workspace.new_folder(spark, "x")
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(FakeSession(spark__master="spark://host:7077"))
+    assert workspace.shared_folder(
+        FakeSession(spark__master="yarn", spark__checkpoint__dir="hdfs:///shared/")
+    ) == "hdfs:///shared"
+    assert workspace.shared_folder(FakeSession(spark__master="local[2]")).startswith("/tmp/run-")
