@@ -35,7 +35,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     Values may hold line breaks, so a file is never cut between two tasks; the
     writers here produce many bounded files, which is what spreads the work.
     """
-    reader = spark.read.options(**storage.CSV_OPTIONS).option("multiLine", "true")
+    # An empty field is NULL and a quoted empty one is empty text; with the default
+    # null marker, which is empty too, both would be NULL.
+    reader = spark.read.options(
+        **storage.CSV_OPTIONS, multiLine="true", nullValue="\u0000"
+    )
     return reader.schema(schema).csv(path) if schema else reader.csv(path)
 
 
