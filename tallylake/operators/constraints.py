@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallylake.operators.skew import rows_with_key_in
 from tallylake.schema import ACCOUNT, CARD, FOREIGN_KEYS, SPECS, ForeignKey, Tables
 
 
@@ -60,8 +61,8 @@ def unique_columns(tables: Tables) -> DataFrame:
 
 
 def rows_with_repeated(df: DataFrame, column: str) -> DataFrame:
-    repeated = _key_counts(df, column).where(F.col("n") > 1)
-    return df.join(repeated, F.col(column) == F.col("key"), "left_semi")
+    """All rows of every key that occurs more than once."""
+    return rows_with_key_in(df, column, _key_counts(df, column).where(F.col("n") > 1))
 
 
 def _per_column(df: DataFrame, table: str, tests: dict, value: str, extra=None) -> DataFrame:
@@ -126,7 +127,7 @@ def rows_longer_than(df: DataFrame, column: str, limit: int) -> DataFrame:
 
 def _orphans(tables: Tables, fk: ForeignKey) -> DataFrame:
     frames = tables.by_name()
-    parent = frames[fk.parent].select(F.col("id").alias("parent_id"))
+    parent = frames[fk.parent].select(F.col("id").alias("parent_id")).distinct()
     lost = _key_counts(frames[fk.child], fk.column).join(
         parent, F.col("key") == F.col("parent_id"), "left_anti"
     )
@@ -144,6 +145,11 @@ def foreign_keys(tables: Tables) -> DataFrame:
 
 
 def rows_without_parent(tables: Tables, fk: ForeignKey) -> DataFrame:
+    """All rows of the child whose reference leads nowhere.
+
+    Both inputs come straight from their shuffle, so AQE can cut the partition
+    of a reference, such as a placeholder id, that a large share of rows hold.
+    """
     frames = tables.by_name()
     parent = frames[fk.parent].select(F.col("id").alias("parent_id"))
     return frames[fk.child].where(F.col(fk.column).isNotNull()).join(

@@ -60,6 +60,6 @@ def insert_new(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataF
     """Append only the batch rows whose key the target does not hold yet."""
     order = [c for c in batch.columns if c not in key]
     fresh = first_per_key(batch, key, order).alias("t").join(
-        target.select(*key).alias("b"), _same(key), "left_anti"
+        target.select(*key).distinct().alias("b"), _same(key), "left_anti"
     )
     return target.unionByName(fresh)

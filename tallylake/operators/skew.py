@@ -1,4 +1,4 @@
-"""Equi-join that stays balanced when a few keys hold much of the left side.
+"""Joins that stay balanced when a few keys hold much of the left side.
 
 AQE cuts a skewed join partition only when both join inputs come straight from
 a shuffle. Where the right input is itself the result of a join on the same
@@ -72,3 +72,25 @@ def balanced_join(
         )
         .drop("left_piece", "right_piece")
     )
+
+
+def rows_with_key_in(
+    df: DataFrame,
+    key: str,
+    wanted: DataFrame,
+    max_heavy: int = MAX_HEAVY,
+    min_rows: int = MIN_HEAVY_ROWS,
+) -> DataFrame:
+    """Rows of ``df`` whose key is listed in ``wanted`` (key, n), n being its rows in ``df``.
+
+    Rows of heavy keys are picked out where they are, against a broadcast list
+    of at most ``max_heavy`` keys; the others meet their key by a shuffle.
+    """
+    rows = df.agg(F.count(F.lit(1)))
+    limit = F.greatest(F.ceil(rows.scalar() / F.lit(max_heavy)), F.lit(min_rows))
+    heavy = F.broadcast(wanted.where(F.col("n") > limit).select(F.col("key").alias("wanted_key")))
+    light = wanted.where(F.col("n") <= limit).select(F.col("key").alias("wanted_key"))
+    matches = F.col(key) == F.col("wanted_key")
+    return df.join(heavy, matches, "left_semi").unionByName(
+        df.join(heavy, matches, "left_anti").join(light, matches, "left_semi")
+    )

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallylake.operators import flat, reload, star
-from tallylake.operators.skew import balanced_join, heavy_keys
+from tallylake.operators.skew import balanced_join, heavy_keys, rows_with_key_in
 from testbed import fixtures
 
 
@@ -59,6 +59,15 @@ def test_heavy_key_is_spread_over_tasks(spark, lopsided, confs):
     assert max(r["count"] for r in per_task) < 600
 
 
+@pytest.mark.parametrize("min_rows", [1, 700, 10_000])
+def test_rows_of_listed_keys(spark, lopsided, min_rows):
+    counts = lopsided.groupBy(F.col("k").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = counts.where("n > 1")
+    got = rows_with_key_in(lopsided, "k", repeated, 10, min_rows)
+    want = {r.row for r in lopsided.collect() if r.k in (1, 2)}
+    assert sorted(r.row for r in got.collect()) == sorted(want)
+
+
 def _hot_tables(spark, sf_dir):
     """One card holds more than a third of the transactions, one member a third of the cards."""
     t = fixtures.load(spark, sf_dir)
