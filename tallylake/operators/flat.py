@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tallylake.operators import interactions, star, validity
 from tallylake.operators.skew import balanced_join
-from tallylake.schema import AMOUNT, Tables
+from tallylake.schema import AMOUNT, Tables, publish
 
+# Fixed values of the output contract, in order.
 COLUMNS = (
     "id_associado",
     "nome",
@@ -30,6 +31,23 @@ COLUMNS = (
     "qtd_interacoes_historico",
 )
 
+# Published name -> source column, for what comes from the card and the transaction.
+CARD_COLUMNS = {
+    "profile_card": "id",
+    "card_account": "id_conta",
+    "card_member": "id_associado",
+    "numero_cartao": "num_cartao",
+    "nome_impresso_cartao": "nom_impresso",
+    "bandeira_cartao": "bandeira",
+}
+ACCOUNT_COLUMNS = {"account_id": "id", "tipo_conta": "tipo"}
+MOVEMENT_COLUMNS = {
+    "id_cartao": "id_cartao",
+    "vlr_transacao_movimento": "vlr_transacao",
+    "des_transacao_movimento": "des_transacao",
+    "data_movimentacao": "data_movimentacao",
+}
+
 # Published as text.
 TEXT_COLUMNS = ("idade_associado", "vlr_transacao_movimento", "data_movimentacao")
 
@@ -40,15 +58,8 @@ def card_profile(cards: DataFrame, accounts: DataFrame, members: DataFrame) -> D
     ``members`` is the member dimension, already masked and counted. The member
     is the card's own, which need not be the account's.
     """
-    held = cards.select(
-        F.col("id").alias("profile_card"),
-        F.col("id_conta").alias("card_account"),
-        F.col("id_associado").alias("card_member"),
-        F.col("num_cartao").alias("numero_cartao"),
-        F.col("nom_impresso").alias("nome_impresso_cartao"),
-        F.col("bandeira").alias("bandeira_cartao"),
-    )
-    kinds = accounts.select(F.col("id").alias("account_id"), F.col("tipo").alias("tipo_conta"))
+    held = publish(cards, CARD_COLUMNS)
+    kinds = publish(accounts, ACCOUNT_COLUMNS)
     owned = balanced_join(
         held, members.drop("email"), "card_member", "id_associado", F.col("profile_card")
     )
@@ -66,15 +77,9 @@ def profile_of(tables: Tables) -> DataFrame:
 
 def attach(valid: DataFrame, profile: DataFrame) -> DataFrame:
     """Typed flat view of already valid transactions."""
-    moved = valid.select(
-        "id_cartao",
-        F.col("vlr_transacao").alias("vlr_transacao_movimento"),
-        F.col("des_transacao").alias("des_transacao_movimento"),
-        "data_movimentacao",
-    )
-    return moved.join(profile, F.col("id_cartao") == F.col("profile_card"), "inner").select(
-        *COLUMNS
-    )
+    moved = publish(valid, MOVEMENT_COLUMNS)
+    joined = moved.join(profile, F.col("id_cartao") == F.col("profile_card"), "inner")
+    return joined.select(*COLUMNS)
 
 
 def build(tables: Tables) -> DataFrame:

@@ -123,26 +123,3 @@ def sample_rows(flat_view: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
         .limit(rows)
         .select(*SAMPLE_COLUMNS)
     )
-
-
-def latest_sample(tables: Tables, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """:func:`sample_rows` from the sources, without joining every transaction.
-
-    Take the ``rows`` cards of the flat view with the most recent transaction:
-    the oldest of their latest moments is a floor, since that many rows at or
-    above it exist. Only transactions from the floor on can be in the sample.
-    With fewer cards than ``rows`` there is no floor and nothing is left out.
-    """
-    valid = validity.valid_rows(tables.movements)
-    profile = flat.profile_of(tables)
-    newest = (
-        valid.groupBy("id_cartao")
-        .agg(F.max("data_movimentacao").alias("newest"))
-        .join(profile, F.col("id_cartao") == F.col("profile_card"), "left_semi")
-        .orderBy(F.desc("newest"))
-        .limit(rows)
-        .agg(F.when(F.count("newest") == rows, F.min("newest")))
-        .scalar()
-    )
-    recent = valid.where(newest.isNull() | (F.col("data_movimentacao") >= newest))
-    return sample_rows(flat.attach(recent, profile), rows)

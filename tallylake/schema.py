@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MEMBER = "associado"
@@ -164,3 +165,8 @@ class Tables:
             MOVEMENT: self.movements,
             INTERACTION: self.interactions,
         }
+
+
+def publish(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Select and rename: published name -> source column."""
+    return df.select([F.col(source).alias(name) for name, source in columns.items()])

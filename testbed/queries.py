@@ -268,7 +268,7 @@ def kpi_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.latest_sample(fixtures.load(spark, sf_dir))
+    return marts.sample_rows(flat.build(fixtures.load(spark, sf_dir)))
 
 
 @query

@@ -23,34 +23,32 @@ def movements(spark, rows):
 
 
 def two_members(spark) -> Tables:
+    """Ana has three interactions and two transactions, Davi one transaction."""
     return Tables(
         members=spark.createDataFrame(
             [
-                (1, "Maria", "Silva", 30, "maria@teste.com", "123.456.789-10"),
-                (2, "João", "Souza", 45, "joao@teste.com", "987.654.321-00"),
+                (1, "Ana", "Prado", 52, "ana@mail.test", "111.222.333-44"),
+                (2, "Davi", "Nunes", 27, "davi@mail.test", "555.666.777-88"),
             ],
             MEMBER,
         ),
         accounts=spark.createDataFrame(
-            [
-                (10, "corrente", "2023-01-01 10:00:00", 1),
-                (20, "poupanca", "2023-03-01 10:00:00", 2),
-            ],
+            [(31, "poupanca", "2021-06-30 08:15:00", 1), (32, "corrente", "2022-11-05 17:40:00", 2)],
             ACCOUNT,
         ),
         cards=spark.createDataFrame(
             [
-                (100, "1111222233334444", "MARIA SILVA", "Visa", "2023-02-01 09:00:00", 10, 1),
-                (200, "5555666677778888", "JOAO SOUZA", "Elo", "2023-04-01 09:00:00", 20, 2),
+                (701, "4000100020003000", "ANA PRADO", "Mastercard", "2021-07-01 00:00:00", 31, 1),
+                (702, "5000600070008000", "DAVI NUNES", "Elo", "2022-12-01 00:00:00", 32, 2),
             ],
             CARD,
         ),
         movements=movements(
             spark,
             [
-                (1000, "150.50", "Compra supermercado", "2024-05-01 12:00:00", 100),
-                (1001, "80.00", "Farmacia", "2024-05-02 12:00:00", 100),
-                (1002, "300.00", "Posto de gasolina", "2024-05-03 12:00:00", 200),
+                (9001, "12.30", "Livraria", "2023-02-10 10:11:12", 701),
+                (9002, "45.00", "Padaria", "2023-02-11 06:30:00", 701),
+                (9003, "7.05", "Estacionamento", "2023-02-12 20:00:01", 702),
             ],
         ),
         interactions=spark.createDataFrame([(1, "app"), (1, "email"), (1, "app")], LOG),

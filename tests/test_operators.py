@@ -12,12 +12,12 @@ from tallylake.schema import BUSINESS_KEY, FOREIGN_KEYS, SPECS, Tables
 
 def test_amounts_are_split_by_sign(spark):
     df = spark.createDataFrame(
-        [(1, 100.0), (2, -50.0), (3, 30.0), (4, -10.0)], ["id", "vlr_transacao"]
+        [(1, 8.5), (2, -1.0), (3, -0.01), (4, 0.01), (5, 20.0)], ["id", "vlr_transacao"]
     )
     sides = validity.split(df)
-    assert {r.id for r in sides.valid.collect()} == {1, 3}
-    assert {r.id for r in sides.invalid.collect()} == {2, 4}
-    assert sides.invalid_pct == 50.0
+    assert {r.id for r in sides.valid.collect()} == {1, 4, 5}
+    assert {r.id for r in sides.invalid.collect()} == {2, 3}
+    assert sides.invalid_pct == 40.0
 
 
 def test_nothing_to_split(spark):
@@ -45,19 +45,19 @@ def test_amount_column_can_be_named(spark):
 
 
 def test_null_share_per_column(spark):
-    df = spark.createDataFrame([(1, "a"), (2, None), (3, "c"), (4, None)], "id int, valor string")
+    df = spark.createDataFrame([(n, "x" if n % 5 else None) for n in range(20)], "id int, valor string")
     for got in (profile.measure(df, ["id"], None), profile.null_counts(df)):
         shares = {r.coluna: r.percentual_nulos for r in got.null_profile().collect()}
-        assert shares == {"id": 0.0, "valor": 50.0}
+        assert shares == {"id": 0.0, "valor": 20.0}
 
 
 def test_copies_of_a_key(spark):
-    df = spark.createDataFrame([(1, 100), (1, 100), (2, 200), (3, 300)], "id_cartao int, valor int")
+    df = spark.createDataFrame([(4, 1), (4, 2), (4, 1), (5, 1), (4, 1)], "id_cartao int, valor int")
     document = profile.measure(df, ["id_cartao", "valor"], None).document()
     figures = document["metricas_movimentacao_bruta"]
-    assert figures["total_duplicados"] == 1
-    assert figures["percentual_duplicados"] == 25.0
-    assert profile.key_copies(df, ["id_cartao", "valor"]).duplicate_profile().first()[1] == 1
+    assert figures["total_duplicados"] == 2
+    assert figures["percentual_duplicados"] == 40.0
+    assert profile.key_copies(df, ["id_cartao", "valor"]).duplicate_profile().first()[1] == 2
 
 
 def test_nulls_in_a_key_are_equal(spark):
@@ -132,15 +132,15 @@ def test_worst_column_ties_go_to_the_first(spark):
 def test_transaction_reaches_its_member(spark):
     rows = flat.build(two_members(spark)).collect()
     assert len(rows) == 3
-    farm = next(r for r in rows if r.des_transacao_movimento == "Farmacia")
-    assert (farm.nome, farm.sobrenome, farm.cpf) == ("Maria", "S.", "***.***.**-10")
-    assert (farm.bandeira_cartao, farm.tipo_conta) == ("Visa", "corrente")
-    assert farm.vlr_transacao_movimento == Decimal("80.00")
-    assert farm.qtd_interacoes_historico == 3
+    bread = {r.des_transacao_movimento: r for r in rows}["Padaria"]
+    assert (bread.nome, bread.sobrenome, bread.cpf) == ("Ana", "P.", "***.***.**-44")
+    assert (bread.bandeira_cartao, bread.tipo_conta) == ("Mastercard", "poupanca")
+    assert bread.vlr_transacao_movimento == Decimal("45.00")
+    assert bread.qtd_interacoes_historico == 3
 
 
 def test_no_interactions_is_null_not_zero(spark):
-    rows = flat.build(two_members(spark)).where("nome = 'João'").collect()
+    rows = flat.build(two_members(spark)).where("nome = 'Davi'").collect()
     assert [r.qtd_interacoes_historico for r in rows] == [None]
 
 
@@ -149,18 +149,18 @@ def test_published_form_and_back(spark):
     text = flat.as_contract(typed)
     assert tuple(text.columns) == flat.COLUMNS
     assert {text.schema[c].dataType.simpleString() for c in flat.TEXT_COLUMNS} == {"string"}
-    assert {r.vlr_transacao_movimento for r in text.collect()} == {"150.50", "80.00", "300.00"}
+    assert {r.vlr_transacao_movimento for r in text.collect()} == {"12.30", "45.00", "7.05"}
     back = flat.as_typed(text).select("vlr_transacao_movimento").collect()
-    assert sorted(r[0] for r in back) == [Decimal("80.00"), Decimal("150.50"), Decimal("300.00")]
+    assert sorted(r[0] for r in back) == [Decimal("7.05"), Decimal("12.30"), Decimal("45.00")]
 
 
 def test_member_is_the_cards_own(spark):
     t = two_members(spark)
-    crossed = t.cards.withColumn("id_associado", F.when(F.col("id") == 100, 2).otherwise(1))
+    crossed = t.cards.withColumn("id_associado", F.when(F.col("id") == 701, 2).otherwise(1))
     rows = flat.build(Tables(t.members, t.accounts, crossed, t.movements, t.interactions))
     assert {(r.bandeira_cartao, r.nome, r.tipo_conta) for r in rows.collect()} == {
-        ("Visa", "João", "corrente"),
-        ("Elo", "Maria", "poupanca"),
+        ("Mastercard", "Davi", "poupanca"),
+        ("Elo", "Ana", "corrente"),
     }
 
 
@@ -179,11 +179,11 @@ def test_star_has_four_tables(spark):
 
 
 def test_member_dimension_is_masked_and_counted(spark):
-    rows = {r.nome: r for r in star.build(two_members(spark))["dim_associado"].collect()}
-    assert rows["Maria"].sobrenome == "S."
-    assert rows["Maria"].cpf == "***.***.**-10"
-    assert rows["Maria"].qtd_interacoes_historico == 3
-    assert rows["João"].qtd_interacoes_historico is None
+    shown = star.build(two_members(spark))["dim_associado"].drop("idade_associado", "email")
+    assert {tuple(r) for r in shown.collect()} == {
+        (1, "Ana", "P.", "***.***.**-44", 3),
+        (2, "Davi", "N.", "***.***.**-88", None),
+    }
 
 
 def test_fact_has_the_three_keys_and_one_row_per_transaction(spark):
@@ -194,9 +194,11 @@ def test_fact_has_the_three_keys_and_one_row_per_transaction(spark):
 
 def test_dimensions_do_not_grow(spark):
     tables = star.build(two_members(spark))
-    assert tables["dim_associado"].count() == 2
-    assert tables["dim_cartao"].count() == 2
-    assert tables["dim_conta"].count() == 2
+    assert {n: df.count() for n, df in tables.items() if n.startswith("dim_")} == {
+        "dim_associado": 2,
+        "dim_conta": 2,
+        "dim_cartao": 2,
+    }
 
 
 def test_account_dimension_has_no_member(spark):
@@ -210,7 +212,7 @@ def test_account_dimension_has_no_member(spark):
 def test_fact_keeps_what_flat_drops(spark):
     t = two_members(spark)
     lost = Tables(
-        t.members.where("id = 1"), t.accounts.where("id = 20"), t.cards, t.movements, t.interactions
+        t.members.where("id = 1"), t.accounts.where("id = 32"), t.cards, t.movements, t.interactions
     )
     assert star.build(lost)["fato_movimentacao"].count() == 3
     assert flat.build(lost).count() == 0
@@ -233,13 +235,13 @@ def _broken(spark):
         cards=t.cards.withColumns(
             {
                 "nom_impresso": F.repeat(F.lit("X"), 101),
-                "id_associado": F.when(F.col("id") == 100, 2).otherwise(F.col("id_associado")),
-                "id_conta": F.when(F.col("id") == 200, 99).otherwise(F.col("id_conta")),
+                "id_associado": F.when(F.col("id") == 701, 2).otherwise(F.col("id_associado")),
+                "id_conta": F.when(F.col("id") == 702, 99).otherwise(F.col("id_conta")),
             }
         ),
         movements=t.movements.withColumn(
-            "vlr_transacao", F.when(F.col("id") != 1000, F.col("vlr_transacao"))
-        ).withColumn("id_cartao", F.when(F.col("id") != 1001, F.col("id_cartao")).otherwise(7)),
+            "vlr_transacao", F.when(F.col("id") != 9001, F.col("vlr_transacao"))
+        ).withColumn("id_cartao", F.when(F.col("id") != 9002, F.col("id_cartao")).otherwise(7)),
         interactions=t.interactions,
     )
 
@@ -268,18 +270,17 @@ def test_every_constraint_reports_its_violations(spark):
 def test_offending_rows(spark):
     t = _broken(spark)
     assert constraints.rows_with_repeated(t.members, "id").count() == 2
-    assert constraints.rows_with_null(t.movements, "vlr_transacao").first().id == 1000
+    assert constraints.rows_with_null(t.movements, "vlr_transacao").first().id == 9001
     assert constraints.rows_longer_than(t.cards, "nom_impresso", 100).count() == 2
     to_card = next(fk for fk in FOREIGN_KEYS if fk.column == "id_cartao")
-    assert constraints.rows_without_parent(t, to_card).first().id == 1001
-    assert constraints.cards_of_other_members(t).first().id_cartao == 100
+    assert constraints.rows_without_parent(t, to_card).first().id == 9002
+    assert constraints.cards_of_other_members(t).first().id_cartao == 701
 
 
 def test_null_reference_is_no_orphan(spark):
     t = two_members(spark)
-    t = Tables(
-        t.members, t.accounts, t.cards, t.movements.withColumn("id_cartao", F.lit(None).cast("int")), t.interactions
-    )
+    unowned = t.movements.withColumn("id_cartao", F.lit(None).cast("int"))
+    t = Tables(t.members, t.accounts, t.cards, unowned, t.interactions)
     assert {r.orfas for r in constraints.foreign_keys(t).collect()} == {0}
 
 
