@@ -306,6 +306,73 @@ BROKEN_VIEWS = """
 
 BROKEN = "x_associado conta x_cartao x_movimentacao"
 
+PRIMARY_KEYS = " UNION ALL ".join(
+    [
+        _repeats("associado", "x_associado", "id"),
+        _repeats("conta", "conta", "id"),
+        _repeats("cartao", "x_cartao", "id"),
+        _repeats("movimentacao", "x_movimentacao", "id"),
+    ]
+)
+
+NOT_NULL = " UNION ALL ".join(
+    [
+        _nulls("associado", "x_associado", "id nome sobrenome idade email cpf"),
+        _nulls("conta", "conta", "id tipo data_criacao id_associado"),
+        _nulls(
+            "cartao",
+            "x_cartao",
+            "id num_cartao nom_impresso bandeira data_criacao id_conta id_associado",
+        ),
+        _nulls(
+            "movimentacao", "x_movimentacao", "id vlr_transacao data_movimentacao id_cartao"
+        ),
+    ]
+)
+
+REFERENCES = " UNION ALL ".join(
+    [
+        _orphans("conta", "conta", "id_associado", "associado", "x_associado"),
+        _orphans("cartao", "x_cartao", "id_conta", "conta", "conta"),
+        _orphans("cartao", "x_cartao", "id_associado", "associado", "x_associado"),
+        _orphans("movimentacao", "x_movimentacao", "id_cartao", "cartao", "x_cartao"),
+        _orphans(
+            "historico_interacoes",
+            "x_historico",
+            "associado_id",
+            "associado",
+            "x_associado",
+        ),
+    ]
+)
+
+LENGTHS = " UNION ALL ".join(
+    [
+        _too_long(
+            "associado",
+            "x_associado",
+            {"nome": 100, "sobrenome": 100, "email": 150, "cpf": 14},
+        ),
+        _too_long("conta", "conta", {"tipo": 50}),
+        _too_long(
+            "cartao", "x_cartao", {"num_cartao": 20, "nom_impresso": 100, "bandeira": 20}
+        ),
+        _too_long("movimentacao", "x_movimentacao", {"des_transacao": 200}),
+    ]
+)
+
+CPF_UNIQUE = _repeats("associado", "x_associado", "cpf")
+
+ALL_RULES = f"""
+    SELECT 'not_null' AS regra, tabela, coluna, nulos AS violacoes FROM ({NOT_NULL})
+    UNION ALL SELECT 'length', tabela, coluna, excedentes FROM ({LENGTHS})
+    UNION ALL SELECT 'primary_key', tabela, coluna, linhas_excedentes FROM ({PRIMARY_KEYS})
+    UNION ALL SELECT 'unique', tabela, coluna, linhas_excedentes FROM ({CPF_UNIQUE})
+    UNION ALL SELECT 'foreign_key', tabela, coluna, orfas FROM ({REFERENCES})
+    UNION ALL SELECT 'same_member', 'cartao', 'id_associado', count(*)
+    FROM x_cartao c JOIN conta t ON c.id_conta = t.id
+    WHERE c.id_associado IS DISTINCT FROM t.id_associado"""
+
 ORACLES: dict[str, str] = {
     "scan_interactions": _with("historico", "SELECT * FROM historico"),
     "parquet_roundtrip": _with("flat", FLAT_TEXT),
@@ -498,70 +565,11 @@ ORACLES: dict[str, str] = {
         "movimentacao",
         f"SELECT id, {_brl('vlr_transacao')} AS valor_formatado FROM movimentacao",
     ),
-    "check_pk": _with(
-        BROKEN,
-        " UNION ALL ".join(
-            [
-                _repeats("associado", "x_associado", "id"),
-                _repeats("conta", "conta", "id"),
-                _repeats("cartao", "x_cartao", "id"),
-                _repeats("movimentacao", "x_movimentacao", "id"),
-            ]
-        ),
-    ),
-    "check_cpf_unique": _with("x_associado", _repeats("associado", "x_associado", "cpf")),
-    "check_not_null": _with(
-        BROKEN,
-        " UNION ALL ".join(
-            [
-                _nulls("associado", "x_associado", "id nome sobrenome idade email cpf"),
-                _nulls("conta", "conta", "id tipo data_criacao id_associado"),
-                _nulls(
-                    "cartao",
-                    "x_cartao",
-                    "id num_cartao nom_impresso bandeira data_criacao id_conta id_associado",
-                ),
-                _nulls(
-                    "movimentacao", "x_movimentacao", "id vlr_transacao data_movimentacao id_cartao"
-                ),
-            ]
-        ),
-    ),
-    "check_fk": _with(
-        f"{BROKEN} x_historico",
-        " UNION ALL ".join(
-            [
-                _orphans("conta", "conta", "id_associado", "associado", "x_associado"),
-                _orphans("cartao", "x_cartao", "id_conta", "conta", "conta"),
-                _orphans("cartao", "x_cartao", "id_associado", "associado", "x_associado"),
-                _orphans("movimentacao", "x_movimentacao", "id_cartao", "cartao", "x_cartao"),
-                _orphans(
-                    "historico_interacoes",
-                    "x_historico",
-                    "associado_id",
-                    "associado",
-                    "x_associado",
-                ),
-            ]
-        ),
-    ),
-    "check_lengths": _with(
-        BROKEN,
-        " UNION ALL ".join(
-            [
-                _too_long(
-                    "associado",
-                    "x_associado",
-                    {"nome": 100, "sobrenome": 100, "email": 150, "cpf": 14},
-                ),
-                _too_long("conta", "conta", {"tipo": 50}),
-                _too_long(
-                    "cartao", "x_cartao", {"num_cartao": 20, "nom_impresso": 100, "bandeira": 20}
-                ),
-                _too_long("movimentacao", "x_movimentacao", {"des_transacao": 200}),
-            ]
-        ),
-    ),
+    "check_pk": _with(BROKEN, PRIMARY_KEYS),
+    "check_cpf_unique": _with("x_associado", CPF_UNIQUE),
+    "check_not_null": _with(BROKEN, NOT_NULL),
+    "check_fk": _with(f"{BROKEN} x_historico", REFERENCES),
+    "check_lengths": _with(BROKEN, LENGTHS),
     "check_member_consistency": _with(
         "x_cartao conta",
         """SELECT c.id AS id_cartao, c.id_conta, c.id_associado,
@@ -569,6 +577,7 @@ ORACLES: dict[str, str] = {
            FROM x_cartao c JOIN conta t ON c.id_conta = t.id
            WHERE c.id_associado IS DISTINCT FROM t.id_associado""",
     ),
+    "check_all": _with(f"{BROKEN} x_historico", ALL_RULES),
     "broken_star_and_flat": _with(BROKEN, BROKEN_VIEWS),
     "dedup_movements": _with(
         "movimentacao",

@@ -370,6 +370,11 @@ def check_member_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.cards_of_other_members(fixtures.load_broken(spark, sf_dir))
 
 
+@query
+def check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return constraints.summary(fixtures.load_broken(spark, sf_dir))
+
+
 @query
 def broken_star_and_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With orphans present: the fact keeps rows without an account, the flat view does not."""
