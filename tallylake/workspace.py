@@ -2,26 +2,44 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+# On a cluster a path of the local file system is taken only when this is "true",
+# which says that it is a mount every machine shares.
+SHARED_MOUNT = "spark.tallylake.sharedMount"
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else one in the session's warehouse.
 
-    Only a local-mode session without that setting gets a temporary folder: on
-    a cluster such a folder would exist on one machine only.
+    In local mode any folder will do. On a cluster a path on the local file system
+    would exist on one machine only, so it is refused unless declared a shared mount.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="run-")
+    folder = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+    local_session = spark.conf.get("spark.master", "").startswith("local")
+    local_path = folder.startswith(("file:", "/")) or "://" not in folder
+    if not local_session and local_path and spark.conf.get(SHARED_MOUNT, "false") != "true":
+        raise RuntimeError(
+            f"{folder} is a path of the local file system: set spark.checkpoint.dir to a folder "
+            f"every executor can reach, or {SHARED_MOUNT}=true if it is a shared mount"
+        )
+    return folder.rstrip("/")
+
+
+def session_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application alone."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing else ever writes to it."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the session's folder; nothing else ever writes to it."""
+    return f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str | None = None) -> None:
+    """Remove an intermediate path, by default all that this application left behind."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path or session_folder(spark))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

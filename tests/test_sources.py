@@ -188,10 +188,27 @@ def test_shared_folder_comes_from_the_session(spark):
     assert workspace.new_folder(spark, "x") != workspace.new_folder(spark, "x")
 
 
-def test_cluster_without_shared_folder_is_an_error():
+def test_local_path_on_a_cluster_is_an_error():
+    cluster = {"spark__master": "spark://host:7077", "spark__sql__warehouse__dir": "file:/wh"}
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        workspace.shared_folder(FakeSession(spark__master="spark://host:7077"))
-    assert workspace.shared_folder(
-        FakeSession(spark__master="yarn", spark__checkpoint__dir="hdfs:///shared/")
-    ) == "hdfs:///shared"
-    assert workspace.shared_folder(FakeSession(spark__master="local[2]")).startswith("/tmp/run-")
+        workspace.shared_folder(FakeSession(**cluster))
+    with pytest.raises(RuntimeError, match="sharedMount"):
+        workspace.shared_folder(FakeSession(**cluster, spark__checkpoint__dir="file:///mnt/all"))
+    mount = {"spark__checkpoint__dir": "file:///mnt/all", "spark__tallylake__sharedMount": "true"}
+    assert workspace.shared_folder(FakeSession(**cluster, **mount)) == "file:///mnt/all"
+    assert (
+        workspace.shared_folder(FakeSession(**cluster, spark__checkpoint__dir="hdfs:///shared/"))
+        == "hdfs:///shared"
+    )
+
+
+def test_without_a_named_folder_the_warehouse_is_used():
+    session = FakeSession(spark__master="local[2]", spark__sql__warehouse__dir="file:/wh/")
+    assert workspace.shared_folder(session) == "file:/wh/_intermediate"
+
+
+def test_discard_removes_the_sessions_folder(spark):
+    path = workspace.new_folder(spark, "x")
+    spark.range(3).write.parquet(path)
+    workspace.discard(spark, path)
+    assert not storage.exists(spark, path)
