@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylake.llm import mixing
+from tallylake.llm import mixing, tokens
 from tallylake.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
