@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylake.llm import mixing, tokens
+from tallylake.llm import mixing, quality, tokens
 from tallylake.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op5_source_mix"] = mixing.ORACLE
+
+
+@query
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.measures(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_line_quality"] = quality.ORACLE
