@@ -18,8 +18,11 @@ MAX_LOST_PERCENT = 50  # of a text's words, in lines that fail
 
 # A line ends like prose, in any of the scripts we see, if it ends in one of these.
 TERMINAL = r"""[.!?:;…。！？]["'”’»)\]]*$"""
-# Menus and breadcrumbs: three or more items between bars, arrows or bullets.
-NAVIGATION = r"^[^.!?]*?(\s[|»›>•·/]\s[^.!?|»›>•·/]+){2,}$"
+# Menus and breadcrumbs: bars, arrows or bullets stand between the items as words of their own.
+SEPARATOR = r"^[|»›>•·/]$"
+MIN_SEPARATORS = 2
+ITEM_WORDS = 4  # at most so many words for each separator
+SYMBOL_SHARE = 8  # a line fails if every eighth visible character is a symbol
 BOILERPLATE = (
     r"(?i)(all rights reserved|cookie (policy|settings)|accept (all )?cookies|enable javascript"
     r"|terms of (use|service)|privacy policy|click here|sign (in|up)|subscribe (now|to our)"
@@ -91,14 +94,22 @@ def line_words(line: Column) -> Column:
 def bad_line(line: Column) -> Column:
     """Whether a line is navigation, boilerplate, mostly symbols, or a fragment without punctuation."""
     trimmed = F.btrim(line, F.lit(GAP_CHARACTERS))
-    dense = F.length(F.regexp_replace(trimmed, r"\s+", ""))
-    letters = F.length(F.regexp_replace(trimmed, r"[^\p{L}\p{N}]+", ""))
-    return (
-        trimmed.rlike(NAVIGATION)
-        | (trimmed.rlike(BOILERPLATE) & (line_words(trimmed) <= BOILERPLATE_WORDS))
-        | (letters * 2 < dense)
-        | (~trimmed.rlike(TERMINAL) & (line_words(trimmed) <= SHORT_LINE))
-    )
+
+    def judge(words: Column) -> Column:
+        n = F.size(words)
+        separators = F.size(F.filter(words, lambda w: w.rlike(SEPARATOR)))
+        visible = F.array_join(words, "")
+        symbols = F.length(visible) - F.length(F.regexp_replace(visible, SYMBOL, ""))
+        letters = F.length(F.regexp_replace(visible, r"[^\p{L}\p{N}]+", ""))
+        return (
+            ((separators >= MIN_SEPARATORS) & (separators * ITEM_WORDS >= n))
+            | (symbols * SYMBOL_SHARE >= F.length(visible))
+            | (letters * 2 < F.length(visible))
+            | (trimmed.rlike(BOILERPLATE) & (n <= BOILERPLATE_WORDS))
+            | (~trimmed.rlike(TERMINAL) & (n <= SHORT_LINE))
+        )
+
+    return _bound(word_array(trimmed), judge)
 
 
 def lines_with_words(text: Column) -> Column:
@@ -194,14 +205,16 @@ r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram)
 c AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, (VALUES (0), (1), (2)) AS v(k) GROUP BY doc_id),
 l AS (SELECT doc_id, trim(x.x, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line
       FROM d, unnest(lines) AS x(x)),
-j AS (SELECT doc_id, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
-             regexp_matches(line, '__NAVIGATION__')
-             OR (regexp_matches(line, '__BOILERPLATE__')
-                 AND len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) <= __LONG__)
-             OR length(regexp_replace(line, '[^\p{L}\p{N}]+', '', 'g')) * 2 < length(regexp_replace(line, '\s+', '', 'g'))
-             OR (NOT regexp_matches(line, '__TERMINAL__')
-                 AND len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) <= __SHORT__) AS bad
-      FROM l),
+p AS (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM l),
+q AS (SELECT *, len(w) AS n, array_to_string(w, '') AS visible,
+             len(list_filter(w, lambda x: regexp_matches(x, '__SEPARATOR__'))) AS separators FROM p),
+j AS (SELECT doc_id, n,
+             (separators >= 2 AND separators * 4 >= n)
+             OR (length(visible) - length(regexp_replace(visible, '[#*$%&|<>]', '', 'g'))) * 8 >= length(visible)
+             OR length(regexp_replace(visible, '[^\p{L}\p{N}]+', '', 'g')) * 2 < length(visible)
+             OR (regexp_matches(line, '__BOILERPLATE__') AND n <= __LONG__)
+             OR (NOT regexp_matches(line, '__TERMINAL__') AND n <= __SHORT__) AS bad
+      FROM q),
 k AS (SELECT doc_id, sum(n) FILTER (WHERE NOT bad) AS n FROM j GROUP BY doc_id),
 m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
              CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
@@ -214,8 +227,12 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
        AND 100 * (n_words - kept_words) <= 50 * n_words AS kept
 FROM m
-""".replace("__NAVIGATION__", NAVIGATION.replace("'", "''")).replace(
-    "__BOILERPLATE__", BOILERPLATE
-).replace("__TERMINAL__", TERMINAL.replace("'", "''")).replace(
-    "__LONG__", str(BOILERPLATE_WORDS)
-).replace("__SHORT__", str(SHORT_LINE))
+"""
+for _name, _value in {
+    "SEPARATOR": SEPARATOR,
+    "BOILERPLATE": BOILERPLATE,
+    "TERMINAL": TERMINAL.replace("'", "''"),
+    "LONG": str(BOILERPLATE_WORDS),
+    "SHORT": str(SHORT_LINE),
+}.items():
+    ORACLE = ORACLE.replace(f"__{_name}__", _value)
