@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylake.llm import mixing, quality, tokens
+from tallylake.llm import mixing, quality, tokens, toxicity
 from tallylake.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,9 @@ def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_line_quality"] = quality.ORACLE
+
+
+@query
+def op10_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))

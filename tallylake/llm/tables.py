@@ -1,11 +1,19 @@
-"""Reading the given tables and cutting lineage with tables in the shared folder."""
+"""Reading the given tables, cutting lineage with written tables, and running batch functions."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+import tallylake
 from tallylake.workspace import new_folder
 
+Batches = Iterator[pa.RecordBatch]
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -19,3 +27,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def map_batches(
+    df: DataFrame, function: Callable[[Batches], Batches], schema: StructType | str
+) -> DataFrame:
+    """``df.mapInArrow`` with this package on the path of the Python workers.
+
+    The path helps workers that see the same folders as the driver; elsewhere the package
+    is installed or sent along with ``--py-files`` as usual.
+    """
+    root = str(Path(tallylake.__file__).resolve().parent.parent)
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
+    return df.mapInArrow(function, schema)

@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallylake.llm.tables import map_batches
+
 PIECES_REMEMBERED = 1 << 19  # entries of each memory; together below 300 MB
 LONGEST_REMEMBERED = 64  # bytes; longer pieces are counted each time they occur
 
@@ -267,7 +269,8 @@ def token_counts(
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
     )
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(
+    return map_batches(
+        chosen,
         count,
         f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean, fits_chars long",
     )
