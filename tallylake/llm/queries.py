@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylake.llm import mixing, quality, tokens, toxicity
+from tallylake.llm import decontamination, mixing, quality, tokens, toxicity
 from tallylake.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,10 @@ ORACLES["op8_line_quality"] = quality.ORACLE
 def op10_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
+@query
+def op3_benchmark_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
