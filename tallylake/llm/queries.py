@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylake.llm import decontamination, mixing, quality, tokens, toxicity
+from tallylake.llm import decontamination, mixing, near_duplicates, quality, tokens, toxicity
 from tallylake.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op3_benchmark_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     )
+
+
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.grouped(read(spark, sf_dir, "documents"))
