@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylake.llm import decontamination, mixing, near_duplicates, quality, tokens, toxicity
+from tallylake.llm import (
+    decontamination,
+    mixing,
+    near_duplicates,
+    quality,
+    suffix_tree,
+    tokens,
+    toxicity,
+)
 from tallylake.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +26,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    tree, counts = suffix_tree.train(docs)
+    return suffix_tree.score(docs, tree, counts)
+
+
 @query
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"))
