@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallylake.llm import (
     decontamination,
+    link_graph,
     mixing,
     near_duplicates,
     quality,
@@ -70,3 +71,12 @@ def op3_benchmark_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.grouped(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_link_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = link_graph.judged(read(spark, sf_dir, "pages"))
+    return verdicts.select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op9_link_verdicts"] = link_graph.oracle()
