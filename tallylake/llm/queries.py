@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallylake.llm import (
     decontamination,
+    licenses,
     link_graph,
     mixing,
     near_duplicates,
@@ -80,3 +81,11 @@ def op9_link_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_link_verdicts"] = link_graph.oracle()
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_license_scan"] = licenses.oracle()
