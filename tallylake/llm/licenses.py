@@ -124,7 +124,7 @@ def scan(
     templates: Mapping[str, str] = TEMPLATES,
     min_containment: float = MIN_CONTAINMENT,
 ) -> DataFrame:
-    """(doc_id, license, containment, first_word, n_places): the licenses found in each text.
+    """(doc_id, license, containment, first_word, n_windows): the licenses found in each text.
 
     ``containment`` is the largest share of a template's shingles that one window contains,
     ``n_windows`` how many windows reach ``min_containment``, ``first_word`` where the first of them
