@@ -12,6 +12,7 @@ from tallylake.llm import (
     link_graph,
     mixing,
     near_duplicates,
+    private_data,
     quality,
     suffix_tree,
     tokens,
@@ -89,3 +90,8 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op4_license_scan"] = licenses.oracle()
+
+
+@query
+def op6_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.detected(read(spark, sf_dir, "documents"))
