@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallylake.llm.tables import written
@@ -21,7 +21,7 @@ HASH_BITS = 60
 LEVEL_BITS = (12, 16, 16, 16)
 
 
-def document_hash(doc_id):
+def document_hash(doc_id: Column) -> Column:
     """The first 60 bits of the MD5 of the id as text; NULL counts as the empty text."""
     digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
@@ -74,33 +74,21 @@ def source_targets(
     return ranked.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def mix(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    weights: Sequence[int] = (5, 2, 1),
-    share: float = 1.5,
-    ceiling: float = 2.0,
-) -> DataFrame:
-    """(doc_id, size, source_size, target, taken): the words each document gives to the mix.
+def _sized(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    """``docs`` as one struct column ``row`` with the source, size and hash of each."""
+    return docs.select(F.struct("*").alias("row")).select(
+        "row",
+        F.col(f"row.`{doc_id}`").alias("doc_id"),
+        F.col(f"row.`{source}`").cast("string").alias("source"),
+        F.size(word_array(F.col(f"row.`{text}`"))).cast("long").alias("size"),
+        document_hash(F.col(f"row.`{doc_id}`")).alias("h"),
+    )
 
-    A source whose target is above its size gives every document once and part of them
-    twice. Where the budget runs out inside a document, ``taken`` counts only its first
-    words, so a source meets its target but for rounding. Rows with the same doc_id share a
-    hash and so a decision; at the threshold each gives the same share of its words.
-    NULL ids hash as the empty text, NULL sources are a source of their own, NULL texts have
-    no words and give none. Other columns are ignored. An empty table gives no rows.
-    """
+
+def _thresholds(slim: DataFrame, weights: Sequence[int], share: float, ceiling: float) -> DataFrame:
+    """One row per source: its target, whole repeats, hash threshold, and what the threshold still gives."""
     if int(ceiling) != ceiling:
         raise ValueError("the ceiling is a whole number of repeats")
-    slim = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.col(source).cast("string").alias("source"),
-        F.size(word_array(F.col(text))).cast("long").alias("size"),
-        document_hash(F.col(doc_id)).alias("h"),
-    )
-    slim = written(slim, "mix-documents")
     sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = source_targets(sizes, weights, share, ceiling)
 
@@ -131,16 +119,10 @@ def mix(
         upto = Window.partitionBy("source").orderBy("bucket")  # at most 2^bits rows a source
         histogram = histogram.withColumn("cum", F.sum("words").over(upto))
         cut = histogram.join(edge, histogram["source"].eqNullSafe(edge["of"]))
-        cut = (
-            cut.filter((F.col("cum") > F.col("left")) & (F.col("cum") - F.col("words") <= F.col("left")))
-            .groupBy("of")
-            .agg(
-                F.min("bucket").alias("bucket"),
-                F.min_by(F.col("left") - F.col("cum") + F.col("words"), "bucket").alias("rest"),
-                F.min_by("words", "bucket").alias("words"),
-                F.min_by("low", "bucket").alias("low"),
-                F.min_by("high", "bucket").alias("high"),
-            )
+        before = F.col("cum") - F.col("words")
+        # at most one bucket a source holds the point where its budget runs out
+        cut = cut.filter((F.col("cum") > F.col("left")) & (before <= F.col("left"))).select(
+            "of", "bucket", (F.col("left") - before).alias("rest"), "words", "low", "high"
         )
         base = state.select("source", "source_size", "target", "repeats")
         state = base.join(cut, base["source"].eqNullSafe(cut["of"]), "left").select(
@@ -151,14 +133,14 @@ def mix(
             F.coalesce("bucket", F.lit(-1)).alias("prefix"),  # -1: nothing left to find
             F.coalesce("rest", F.lit(0)).alias("left"),
             F.coalesce("words", F.lit(0)).alias("words"),
-            F.col("low"),
-            F.col("high"),
+            "low",
+            "high",
         )
         state = written(state, "mix-state")
         if not state.filter(F.col("low") < F.col("high")).take(1):
             break
     # one hash is left per boundary bucket; a source without one takes nothing more
-    final = state.select(
+    return state.select(
         F.col("source").alias("of"),
         "source_size",
         "target",
@@ -167,6 +149,9 @@ def mix(
         F.col("left").alias("rest"),
         "words",
     )
+
+
+def _taken() -> Column:
     part = (
         F.when(F.col("h") < F.col("threshold"), F.col("size"))
         .when(
@@ -175,15 +160,55 @@ def mix(
         )
         .otherwise(0)
     )
-    return slim.join(final, slim["source"].eqNullSafe(final["of"])).select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        (F.col("repeats") * F.col("size") + part).cast("long").alias("taken"),
-    )
+    return (F.col("repeats") * F.col("size") + part).cast("long").alias("taken")
+
+
+def mix(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: Sequence[int] = (5, 2, 1),
+    share: float = 1.5,
+    ceiling: float = 2.0,
+) -> DataFrame:
+    """(doc_id, size, source_size, target, taken): the words each document gives to the mix.
+
+    A source whose target is above its size gives every document once and part of them
+    twice. Where the budget runs out inside a document, ``taken`` counts only its first
+    words, so a source meets its target but for rounding. Rows with the same doc_id share a
+    hash and so a decision; at the threshold each gives the same share of its words.
+    NULL ids hash as the empty text, NULL sources are a source of their own, NULL texts have
+    no words and give none. Other columns are ignored. An empty table gives no rows.
+    """
+    slim = written(_sized(docs, doc_id, text, source).drop("row"), "mix-documents")
+    final = _thresholds(slim, weights, share, ceiling)
+    rows = slim.join(final, slim["source"].eqNullSafe(final["of"]))
+    return rows.select("doc_id", "size", "source_size", "target", _taken())
+
+
+def mixed_documents(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: Sequence[int] = (5, 2, 1),
+    share: float = 1.5,
+    ceiling: float = 2.0,
+) -> DataFrame:
+    """The documents that the mix takes words of, with all their columns and ``taken``.
+
+    A column of that name in the input is replaced. See :func:`mix` for the decisions.
+    """
+    sized = _sized(docs, doc_id, text, source)
+    slim = written(sized.drop("row"), "mix-documents")
+    final = _thresholds(slim, weights, share, ceiling)
+    rows = sized.join(final, sized["source"].eqNullSafe(final["of"])).withColumn("taken", _taken())
+    columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "taken"]
+    return rows.filter("taken > 0").select(*columns, "taken")
 
 
+# DuckDB SQL for the rows of mix().
 ORACLE = """
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,

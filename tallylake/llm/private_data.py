@@ -33,9 +33,12 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 GENERATORS = {
+    # a written-out "at" counts only with a written-out "dot", and a bare point only inside a word
     "email": (
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\s?(?:@|[\[({]\s?(?:at|AT|@)\s?[\])}]|\s(?:at|AT)\s)\s?"
-        r"[A-Za-z0-9-]++(?:\s?(?:\.|[\[({]\s?(?:dot|DOT|\.)\s?[\])}]|\s(?:dot|DOT)\s)\s?[A-Za-z0-9-]{2,}+){1,4}+"
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++"
+        r"(?:(?:\s?@\s?|\s?[\[({]\s?(?:at|AT|@)\s?[\])}]\s?)[A-Za-z0-9-]++"
+        r"(?:(?:\.|\s?[\[({]\s?(?:dot|DOT|\.)\s?[\])}]\s?|\s(?:dot|DOT)\s)[A-Za-z0-9-]{2,}+){1,4}+"
+        r"|\s(?:at|AT)\s[A-Za-z0-9-]++(?:\s(?:dot|DOT)\s[A-Za-z0-9-]{2,}+){1,4}+)"
     ),
     "ip": r"(?<![0-9.])[0-9]{1,3}+(?:(?:\s?[\[(]\s?(?:\.|dot)\s?[\])]\s?|\s?\.\s?)[0-9]{1,3}+){3}+(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}+(?:[\x20._/ -]{0,2}+[0-9]{4}+){2,3}+(?:[\x20._/ -]{0,2}+[0-9]{1,3}+)?+(?![0-9])",
@@ -309,7 +312,7 @@ def redacted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """
     rows = docs.select(F.struct("*").alias("row"))
     rows = rows.withColumn("spans", candidates(F.col(f"row.`{text}`")))
-    rows = written(rows, "private-redaction")
+    # two passes over the texts, which is less than writing them out once more
     detector = train(rows, half_of(F.col(f"row.`{doc_id}`")))
     content = F.col(f"row.`{text}`")
     spans = F.concat(F.col("spans.base"), F.filter("spans.proposed", detector.accepts))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tallylake.llm import (
     decontamination,
     licenses,
@@ -95,3 +96,12 @@ ORACLES["op4_license_scan"] = licenses.oracle()
 @query
 def op6_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_data.detected(read(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
