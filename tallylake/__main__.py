@@ -16,7 +16,7 @@ from tallylake import schema as S
 from tallylake.plans import batch
 from tallylake.session import DOCUMENT_PACKAGE, RELATIONAL_PACKAGE, build_session
 from tallylake.sources import documents, files, relational
-from tallylake.workspace import new_folder
+from tallylake.workspace import discard, new_folder
 
 
 def live_tables(spark: SparkSession, source: relational.RelationalSource, parts: int) -> S.Tables:
@@ -39,9 +39,18 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tallylake", description=__doc__)
     parser.add_argument("--output-dir", required=True, help="folder for all outputs")
     parser.add_argument("--run-id", help="record the quality figures under this name")
-    parser.add_argument("--snapshot-dir", help="where to copy the sources; default: shared folder")
+    parser.add_argument("--snapshot-dir", help="keep the copy of the sources here; default: none is kept")
     parser.add_argument("--parts", type=int, default=32, help="parallel reads per table")
+    parser.add_argument(
+        "--shuffle-partitions",
+        type=int,
+        required=True,
+        help="first number of shuffle partitions: about the size of the transactions / 256 MB",
+    )
     parser.add_argument("--no-csv", action="store_true", help="skip the CSV form of the flat view")
+    parser.add_argument("--strict", action="store_true", help="hide card numbers, printed names, e-mails")
+    parser.add_argument("--snowflake", action="store_true", help="write the snowflake tables too")
+    parser.add_argument("--dashboards", action="store_true", help="write the dashboard tables too")
     return parser.parse_args(argv)
 
 
@@ -53,10 +62,25 @@ def main(argv: Sequence[str] | None = None) -> batch.Outcome:
     spark = build_session(
         packages=[RELATIONAL_PACKAGE, DOCUMENT_PACKAGE],
         document_uri=f"{uri}/{database}" if database else uri,
+        shuffle_partitions=options.shuffle_partitions,
     )
     snapshot = options.snapshot_dir or new_folder(spark, "snapshot")
-    tables = files.land(live_tables(spark, source, options.parts), snapshot)
-    outcome = batch.run(tables, options.output_dir, options.run_id, not options.no_csv)
+    try:
+        tables = files.land(live_tables(spark, source, options.parts), snapshot)
+        outcome = batch.run(
+            tables,
+            options.output_dir,
+            options.run_id,
+            with_csv=not options.no_csv,
+            strict=options.strict,
+            with_snowflake=options.snowflake,
+        )
+        if options.dashboards:
+            batch.write_dashboards(spark, options.output_dir)
+    finally:
+        # the copy holds personal data in clear: only a folder the user named is kept
+        if not options.snapshot_dir:
+            discard(spark, snapshot)
     print(f"{outcome.flat_rows} rows in the flat view, outputs in {outcome.layout.root}")
     return outcome
 

@@ -32,8 +32,17 @@ def mask_printed_name(value: Column) -> Column:
 
 
 def mask_email(value: Column) -> Column:
-    """Keep the first character of the mailbox and the whole domain."""
-    return F.regexp_replace(value, r"^([^@])[^@]*@", "$1***@")
+    """Keep the first of several mailbox characters and the domain; hide all of anything else.
+
+    Text that is no address, and a mailbox of one character, would otherwise be shown whole.
+    """
+    shown = F.regexp_replace(value, r"^([^@\s])[^@\s]+@([^@\s]+)$", "$1***@$2")
+    hidden = F.regexp_replace(value, r"^[^@\s]@([^@\s]+)$", "***@$1")
+    return (
+        F.when(value.rlike(r"^[^@\s]{2,}@[^@\s]+$"), shown)
+        .when(value.rlike(r"^[^@\s]@[^@\s]+$"), hidden)
+        .when(value.isNotNull(), F.lit("***"))
+    )
 
 
 def mask_member(members: DataFrame, tax_id: str = "cpf", surname: str = "sobrenome") -> DataFrame:

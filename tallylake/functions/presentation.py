@@ -21,11 +21,6 @@ def percent(part: Column, total: Column) -> Column:
     return F.when(total > 0, F.round(part / total * 100, 2)).otherwise(F.lit(0.0))
 
 
-def exact_percent(part: int, total: int) -> float:
-    """The same figure on plain integers, rounded the way Python does."""
-    return round(part / total * 100, 2) if total else 0.0
-
-
 def _band(value: Column, pick: int) -> Column:
     result = None
     for band in SEVERITY_BANDS:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallylake.operators import interactions, star, validity
 from tallylake.operators.skew import balanced_join
-from tallylake.schema import AMOUNT, Tables, publish
+from tallylake.schema import AMOUNT, Tables
 
 # Fixed values of the output contract, in order.
 COLUMNS = (
@@ -31,41 +31,37 @@ COLUMNS = (
     "qtd_interacoes_historico",
 )
 
-# Published name -> source column, for what comes from the card and the transaction.
-CARD_COLUMNS = {
-    "profile_card": "id",
-    "card_account": "id_conta",
-    "card_member": "id_associado",
-    "numero_cartao": "num_cartao",
-    "nome_impresso_cartao": "nom_impresso",
-    "bandeira_cartao": "bandeira",
-}
-ACCOUNT_COLUMNS = {"account_id": "id", "tipo_conta": "tipo"}
-MOVEMENT_COLUMNS = {
-    "id_cartao": "id_cartao",
-    "vlr_transacao_movimento": "vlr_transacao",
-    "des_transacao_movimento": "des_transacao",
-    "data_movimentacao": "data_movimentacao",
-}
-
 # Published as text.
 TEXT_COLUMNS = ("idade_associado", "vlr_transacao_movimento", "data_movimentacao")
 
 
-def card_profile(cards: DataFrame, accounts: DataFrame, members: DataFrame) -> DataFrame:
-    """Cards with their account and member; cards that miss either are left out.
+def card_lookup(cards: DataFrame, accounts: DataFrame, members: DataFrame) -> DataFrame:
+    """Every card with the columns of its account and member, NULL where it misses them.
 
-    ``members`` is the member dimension, already masked and counted. The member
-    is the card's own, which need not be the account's.
+    ``complete`` says whether it has both. ``members`` is the member dimension, already masked
+    and counted. The member is the card's own, which need not be the account's.
     """
-    held = publish(cards, CARD_COLUMNS)
-    kinds = publish(accounts, ACCOUNT_COLUMNS)
-    owned = balanced_join(
-        held, members.drop("email"), "card_member", "id_associado", F.col("profile_card")
+    held = cards.select(
+        F.col("id").alias("profile_card"),
+        F.col("id_conta").alias("card_account"),
+        F.col("id_associado").alias("card_member"),
+        F.col("num_cartao").alias("numero_cartao"),
+        F.col("nom_impresso").alias("nome_impresso_cartao"),
+        F.col("bandeira").alias("bandeira_cartao"),
     )
-    return owned.join(kinds, F.col("card_account") == F.col("account_id"), "inner").drop(
-        "card_account", "account_id", "card_member"
+    kinds = accounts.select(F.col("id").alias("account_id"), F.col("tipo").alias("tipo_conta"))
+    owned = balanced_join(
+        held, members.drop("email"), "card_member", "id_associado", F.col("profile_card"), "left"
     )
+    known = owned.join(kinds, F.col("card_account") == F.col("account_id"), "left")
+    complete = F.col("account_id").isNotNull() & F.col("id_associado").isNotNull()
+    return known.withColumn("complete", complete).drop("account_id")
+
+
+def card_profile(cards: DataFrame, accounts: DataFrame, members: DataFrame) -> DataFrame:
+    """Cards with their account and member; cards that miss either are left out."""
+    known = card_lookup(cards, accounts, members).where("complete")
+    return known.drop("complete", "card_account", "card_member")
 
 
 def profile_of(tables: Tables) -> DataFrame:
@@ -75,13 +71,49 @@ def profile_of(tables: Tables) -> DataFrame:
     )
 
 
+def _moved(valid: DataFrame, *more: str) -> DataFrame:
+    return valid.select(
+        "id_cartao",
+        F.col("vlr_transacao").alias("vlr_transacao_movimento"),
+        F.col("des_transacao").alias("des_transacao_movimento"),
+        "data_movimentacao",
+        *more,
+    )
+
+
 def attach(valid: DataFrame, profile: DataFrame) -> DataFrame:
     """Typed flat view of already valid transactions."""
-    moved = publish(valid, MOVEMENT_COLUMNS)
-    joined = moved.join(profile, F.col("id_cartao") == F.col("profile_card"), "inner")
+    joined = _moved(valid).join(profile, F.col("id_cartao") == F.col("profile_card"), "inner")
     return joined.select(*COLUMNS)
 
 
+def wide(valid: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Valid transactions with all that the flat view and the fact take from their card.
+
+    One move of the transactions for both; ``complete`` marks the rows of the flat view.
+    """
+    return _moved(valid, "id").join(lookup, F.col("id_cartao") == F.col("profile_card"), "inner")
+
+
+def view_of(wide_rows: DataFrame) -> DataFrame:
+    """The typed flat view from :func:`wide`."""
+    return wide_rows.where("complete").select(*COLUMNS)
+
+
+def fact_of(wide_rows: DataFrame, *more: str) -> DataFrame:
+    """The star's fact from :func:`wide`: rows without an account or member too."""
+    return wide_rows.select(
+        F.col("id").alias("id_movimentacao"),
+        "id_cartao",
+        F.col("card_account").alias("id_conta"),
+        F.col("card_member").alias("id_associado"),
+        F.col("vlr_transacao_movimento").alias("vlr_transacao"),
+        F.col("des_transacao_movimento").alias("des_transacao"),
+        "data_movimentacao",
+        *more,
+    )
+
+
 def build(tables: Tables) -> DataFrame:
     """Typed flat view: amounts are decimals and moments are timestamps."""
     return attach(validity.valid_rows(tables.movements), profile_of(tables))
@@ -95,12 +127,13 @@ def as_contract(flat: DataFrame) -> DataFrame:
 def as_typed(published: DataFrame) -> DataFrame:
     """Undo :func:`as_contract`. The text came from exact types, so nothing is lost.
 
-    Text that is not a number or a moment becomes NULL rather than failing the job.
+    Text that is not a number or a moment fails the job, here as in the marts: as a NULL it
+    would vanish from every total.
     """
     return published.withColumns(
         {
-            "idade_associado": F.col("idade_associado").try_cast("int"),
-            "vlr_transacao_movimento": F.col("vlr_transacao_movimento").try_cast(AMOUNT),
-            "data_movimentacao": F.col("data_movimentacao").try_cast("timestamp_ntz"),
+            "idade_associado": F.col("idade_associado").cast("int"),
+            "vlr_transacao_movimento": F.col("vlr_transacao_movimento").cast(AMOUNT),
+            "data_movimentacao": F.col("data_movimentacao").cast("timestamp_ntz"),
         }
     )

@@ -11,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tallylake.functions.presentation import exact_percent, percent
+from tallylake.functions.presentation import percent
 from tallylake.operators.validity import AMOUNT
 
 
@@ -74,20 +74,20 @@ class Profile:
             percent(copies, F.col("total")).alias("percentual_duplicados"),
         )
 
-    def document(self) -> dict:
-        """The contract's JSON document. Runs the job and fetches its single row."""
-        row = self.counts.first()
-        total, copies = row["total"], row["total"] - row["distinct_keys"]
+    def document(self, row: Row | None = None) -> dict:
+        """The contract's JSON document, with the very figures of :meth:`report`.
+
+        ``row`` is the report's row if it was fetched before; else it is fetched now.
+        """
+        row = row or self.report().first()
+        shares = row["percentual_nulos_por_coluna"]
         return {
-            "movimentacoes_invalidas_descartadas_pct": exact_percent(row["invalid"], total),
+            "movimentacoes_invalidas_descartadas_pct": row["movimentacoes_invalidas_descartadas_pct"],
             "metricas_movimentacao_bruta": {
-                "total_registros": total,
-                "percentual_nulos_por_coluna": {
-                    name: exact_percent(row[f"nulls_{i}"], total)
-                    for i, name in enumerate(self.columns)
-                },
-                "percentual_duplicados": exact_percent(copies, total),
-                "total_duplicados": copies,
+                "total_registros": row["total_registros"],
+                "percentual_nulos_por_coluna": {name: shares[name] for name in self.columns},
+                "percentual_duplicados": row["percentual_duplicados"],
+                "total_duplicados": row["total_duplicados"],
             },
         }
 

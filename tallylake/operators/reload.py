@@ -47,13 +47,16 @@ def _same(keys: Sequence[str]) -> Column:
 def upsert(
     target: DataFrame, batch: DataFrame, key: Sequence[str], version: Sequence[str]
 ) -> DataFrame:
-    """Load ``batch`` into ``target``; its rows replace those with the same key.
+    """Load ``batch`` into ``target``: per key the latest version over both is kept.
 
-    Loading the same batch again changes nothing.
+    A batch row replaces a target row of the same version. Loading the same batch again, or an
+    older one late, changes nothing. One aggregate by key; rows of a key are combined in
+    each task before they move.
     """
-    latest = latest_per_key(batch, key, version)
-    kept = target.alias("t").join(latest.select(*key).alias("b"), _same(key), "left_anti")
-    return kept.unionByName(latest)
+    rest = [c for c in target.columns if c not in key and c not in version]
+    both = target.withColumn("loaded", F.lit(0)).unionByName(batch.withColumn("loaded", F.lit(1)))
+    newest = F.max(F.struct(*version, "loaded", *rest)).alias("kept")
+    return both.groupBy(*key).agg(newest).select(*key, "kept.*").select(*target.columns)
 
 
 def insert_new(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -4,10 +4,10 @@ AQE cuts a skewed join partition only when both join inputs come straight from
 a shuffle. Where the right input is itself the result of a join on the same
 key there is no such shuffle, so the heavy keys are spread here instead.
 
-A key is heavy when it holds more than ``1 / MAX_HEAVY`` of the left rows, so
-there are never more than ``MAX_HEAVY`` of them at any data size: that bounds
-the broadcast list of heavy keys and the number of extra right-side copies.
-Every other key joins as usual, and no row is dropped or sampled.
+A key is heavy when it holds more rows than an average shuffle partition, so
+there are never more heavy keys than shuffle partitions: that bounds the
+broadcast list of heavy keys and the number of extra right-side copies at any
+data size. Every other key joins as usual, and no row is dropped or sampled.
 """
 
 from __future__ import annotations
@@ -15,24 +15,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HEAVY = 2_000
-# Below this many rows a key is not worth spreading, however small the table.
-MIN_HEAVY_ROWS = 200_000
 
-
-def heavy_keys(
-    df: DataFrame, key: str, max_heavy: int = MAX_HEAVY, min_rows: int = MIN_HEAVY_ROWS
-) -> DataFrame:
-    """(heavy_key, pieces): at most ``max_heavy`` rows; a key is cut into ``pieces``."""
+def _partition_rows(df: DataFrame, partitions: int | None) -> Column:
+    """Rows of an average shuffle partition of ``df``; by default as many as the session has."""
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.agg(F.count(F.lit(1)))
-    piece = F.greatest(F.ceil(rows.scalar() / F.lit(max_heavy)), F.lit(min_rows))
-    return (
+    return F.greatest(F.ceil(rows.scalar() / F.lit(partitions)), F.lit(1))
+
+
+def heavy_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """(heavy_key, pieces): at most ``partitions`` rows; a key is cut into ``pieces``."""
+    groups = (
         df.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("heavy_key"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("heavy_key", F.ceil(F.col("n") / piece).cast("int").alias("pieces"))
-        .where(F.col("pieces") > 1)
     )
+    pieces = F.ceil(F.col("n") / _partition_rows(df, partitions)).cast("int")
+    return groups.select("heavy_key", pieces.alias("pieces")).where(F.col("pieces") > 1)
 
 
 def balanced_join(
@@ -41,16 +40,16 @@ def balanced_join(
     left_key: str,
     right_key: str,
     spread: Column,
-    max_heavy: int = MAX_HEAVY,
-    min_rows: int = MIN_HEAVY_ROWS,
+    how: str = "inner",
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Inner join of ``left`` and ``right``; all columns of both.
+    """Inner or left join of ``left`` and ``right``; all columns of both.
 
     ``spread`` is a column of the left row (its id, say) that decides which
     piece of a heavy key the row goes to. It must not be random: a task that
     is run again has to send its rows to the same pieces.
     """
-    heavy = F.broadcast(heavy_keys(left, left_key, max_heavy, min_rows))
+    heavy = F.broadcast(heavy_keys(left, left_key, partitions))
 
     cut_left = left.join(heavy, F.col(left_key) == F.col("heavy_key"), "left").withColumn(
         "left_piece",
@@ -68,7 +67,7 @@ def balanced_join(
             cut_right.drop("heavy_key", "pieces"),
             (F.col(left_key) == F.col(right_key))
             & (F.col("left_piece") == F.col("right_piece")),
-            "inner",
+            how,
         )
         .drop("left_piece", "right_piece")
     )
@@ -78,16 +77,14 @@ def rows_with_key_in(
     df: DataFrame,
     key: str,
     wanted: DataFrame,
-    max_heavy: int = MAX_HEAVY,
-    min_rows: int = MIN_HEAVY_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose key is listed in ``wanted`` (key, n), n being its rows in ``df``.
 
     Rows of heavy keys are picked out where they are, against a broadcast list
-    of at most ``max_heavy`` keys; the others meet their key by a shuffle.
+    of at most ``partitions`` keys; the others meet their key by a shuffle.
     """
-    rows = df.agg(F.count(F.lit(1)))
-    limit = F.greatest(F.ceil(rows.scalar() / F.lit(max_heavy)), F.lit(min_rows))
+    limit = _partition_rows(df, partitions)
     heavy = F.broadcast(wanted.where(F.col("n") > limit).select(F.col("key").alias("wanted_key")))
     light = wanted.where(F.col("n") <= limit).select(F.col("key").alias("wanted_key"))
     matches = F.col(key) == F.col("wanted_key")

@@ -46,15 +46,16 @@ def dim_time(movements: DataFrame, moment: str = "data_movimentacao") -> DataFra
 def build(tables: Tables) -> dict[str, DataFrame]:
     """The star's tables with brand and day moved into their own dimensions.
 
-    Days are taken from the valid transactions themselves, before any join.
+    The fact takes the brand's key along in its one card lookup. Days are taken from the valid
+    transactions themselves, before any join.
     """
     tables_of_star = star.build(tables)
-    card, fact = tables_of_star["dim_cartao"], tables_of_star["fato_movimentacao"]
+    valid = validity.valid_rows(tables.movements)
+    brand = brand_key(F.col("bandeira")).alias("id_bandeira")
+    fact = star.fact_movement(valid, tables.cards, brand)
     return tables_of_star | {
         "dim_bandeira": dim_brand(tables.cards),
-        "dim_tempo": dim_time(validity.valid_rows(tables.movements)),
-        "dim_cartao": card.withColumn("id_bandeira", brand_key(F.col("bandeira"))).drop(
-            "bandeira"
-        ),
+        "dim_tempo": dim_time(valid),
+        "dim_cartao": tables_of_star["dim_cartao"].withColumn("id_bandeira", brand).drop("bandeira"),
         "fato_movimentacao": fact.withColumn("id_data", day_key(F.col("data_movimentacao"))),
     }

@@ -2,43 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.functions.masking import mask_member
 from tallylake.operators import interactions, validity
-from tallylake.schema import Tables, publish
-
-# Fixed values of the output contract: published name -> source column.
-MEMBER_COLUMNS = {
-    "id_associado": "id",
-    "nome": "nome",
-    "sobrenome": "sobrenome",
-    "idade_associado": "idade",
-    "email": "email",
-    "cpf": "cpf",
-}
-ACCOUNT_COLUMNS = {
-    "id_conta": "id",
-    "tipo_conta": "tipo",
-    "data_criacao_conta": "data_criacao",
-}
-CARD_COLUMNS = {
-    "id_cartao": "id",
-    "num_cartao": "num_cartao",
-    "nome_impresso_cartao": "nom_impresso",
-    "bandeira": "bandeira",
-    "data_criacao_cartao": "data_criacao",
-}
-FACT_COLUMNS = {
-    "id_movimentacao": "id",
-    "id_cartao": "id_cartao",
-    "id_conta": "id_conta",
-    "id_associado": "id_associado",
-    "vlr_transacao": "vlr_transacao",
-    "des_transacao": "des_transacao",
-    "data_movimentacao": "data_movimentacao",
-}
+from tallylake.schema import Tables
+
+# The names published below are fixed values of the output contract.
 
 
 def dim_member(members: DataFrame, counts: DataFrame) -> DataFrame:
@@ -46,35 +17,62 @@ def dim_member(members: DataFrame, counts: DataFrame) -> DataFrame:
 
     ``counts`` has one row per member, so the join cannot multiply members.
     """
-    tally = publish(
-        counts, {"tally_member": "associado_id", "qtd_interacoes_historico": "qtd_interacoes"}
+    tally = counts.select(
+        F.col("associado_id").alias("tally_member"),
+        F.col("qtd_interacoes").alias("qtd_interacoes_historico"),
+    )
+    published = mask_member(members).select(
+        F.col("id").alias("id_associado"),
+        "nome",
+        "sobrenome",
+        F.col("idade").alias("idade_associado"),
+        "email",
+        "cpf",
     )
-    published = publish(mask_member(members), MEMBER_COLUMNS)
     return published.join(
         tally, F.col("id_associado") == F.col("tally_member"), "left"
     ).drop("tally_member")
 
 
 def dim_account(accounts: DataFrame) -> DataFrame:
-    return publish(accounts, ACCOUNT_COLUMNS)
+    return accounts.select(
+        F.col("id").alias("id_conta"),
+        F.col("tipo").alias("tipo_conta"),
+        F.col("data_criacao").alias("data_criacao_conta"),
+    )
 
 
 def dim_card(cards: DataFrame) -> DataFrame:
-    return publish(cards, CARD_COLUMNS)
+    return cards.select(
+        F.col("id").alias("id_cartao"),
+        "num_cartao",
+        F.col("nom_impresso").alias("nome_impresso_cartao"),
+        "bandeira",
+        F.col("data_criacao").alias("data_criacao_cartao"),
+    )
 
 
-def fact_movement(valid: DataFrame, cards: DataFrame) -> DataFrame:
+def fact_movement(valid: DataFrame, cards: DataFrame, *more: Column) -> DataFrame:
     """Valid transactions with the card's account and member as foreign keys.
 
     Only the card is looked up: a transaction whose account or member is
-    missing is still a fact. Both inputs are shuffled straight into the join,
-    so AQE can cut the partition of a card that holds most transactions.
+    missing is still a fact. ``more`` are further columns of the card to publish. Both inputs
+    are shuffled straight into the join, so AQE can cut the partition of a card
+    that holds most transactions.
     """
-    owner = publish(
-        cards, {"owner_card": "id", "id_conta": "id_conta", "id_associado": "id_associado"}
-    )
+    owner = cards.select(F.col("id").alias("owner_card"), "id_conta", "id_associado", *more)
+    further = [c for c in owner.columns if c not in ("owner_card", "id_conta", "id_associado")]
     owned = valid.join(owner, F.col("id_cartao") == F.col("owner_card"), "inner")
-    return publish(owned, FACT_COLUMNS)
+    return owned.select(
+        F.col("id").alias("id_movimentacao"),
+        "id_cartao",
+        "id_conta",
+        "id_associado",
+        "vlr_transacao",
+        "des_transacao",
+        "data_movimentacao",
+        *further,
+    )
 
 
 def assemble(

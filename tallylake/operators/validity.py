@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallylake.functions.presentation import exact_percent, percent
+from tallylake.functions.presentation import percent
 
 AMOUNT = "vlr_transacao"
 
@@ -49,5 +49,5 @@ def split(df: DataFrame, amount: str = AMOUNT) -> Split:
     return Split(
         valid_rows(df, amount),
         invalid_rows(df, amount),
-        exact_percent(counts["invalidas"], counts["total_registros"]),
+        counts["percentual_invalidas"],
     )

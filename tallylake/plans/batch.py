@@ -1,20 +1,44 @@
-"""The whole batch: profile, publish, aggregate, report.
+"""The whole batch: check, profile, publish, aggregate, report.
 
-The transactions are read three times: once for the profile, once for the flat
-view and once for the fact. Everything else reads what was written before.
+The transactions are read twice: once for the profile, once for the one join that
+both the flat view and the fact are taken from (once more for the rules, where
+these are checked). Everything else reads what was written before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallylake.operators import flat, interactions, profile, star, validity
+from tallylake.functions.masking import mask_strict
+from tallylake.operators import (
+    constraints,
+    flat,
+    interactions,
+    profile,
+    snowflake,
+    star,
+    validity,
+)
 from tallylake.plans import history, marts, report
 from tallylake.schema import BUSINESS_KEY, Tables
 from tallylake.sources import files, storage
+from tallylake.workspace import discard, new_folder
+
+DASHBOARD_TABLES = (
+    "kpi_summary",
+    "kpi_labels",
+    "brand_mart",
+    "sample_rows",
+    "quality_headline",
+    "quality_bars",
+    "null_ranking",
+    "chart_points",
+    "null_series",
+)
 
 
 @dataclass(frozen=True)
@@ -47,9 +71,23 @@ class Layout:
     def history(self) -> str:
         return f"{self.root}/quality_history"
 
+    @property
+    def rules(self) -> str:
+        return f"{self.root}/constraint_violations"
+
+    @property
+    def dropped(self) -> str:
+        return f"{self.root}/dropped_rows"
+
     def star(self, table: str) -> str:
         return f"{self.root}/star_schema/{table}.parquet"
 
+    def snowflake(self, table: str) -> str:
+        return f"{self.root}/snowflake_schema/{table}.parquet"
+
+    def dashboard(self, table: str) -> str:
+        return f"{self.root}/dashboard/{table}.parquet"
+
 
 @dataclass(frozen=True)
 class Outcome:
@@ -58,59 +96,110 @@ class Outcome:
     flat_rows: int
 
 
-def write_star(tables: dict[str, DataFrame], layout: Layout) -> None:
-    """Replace every table of the star; the fact is partitioned by month."""
+def write_tables(tables: dict[str, DataFrame], path: Callable[[str], str]) -> None:
+    """Replace every table of a star or snowflake; the fact is partitioned by month.
+
+    On disk the fact has the month as a further, last column, ``mes``: readers prune by it, and
+    :func:`read_fact` leaves it out.
+    """
     for name, df in tables.items():
         if name == "fato_movimentacao":
-            storage.write_by_month(df, layout.star(name), "data_movimentacao")
+            storage.write_by_month(df, path(name), "data_movimentacao")
         else:
-            storage.write_table(df, layout.star(name))
+            storage.write_table(df, path(name))
+
+
+def write_star(tables: dict[str, DataFrame], layout: Layout) -> None:
+    write_tables(tables, layout.star)
+
+
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    """A written fact with the columns of the contract."""
+    return spark.read.parquet(path).drop("mes")
+
+
+def dropped_rows(valid_rows: int, fact_rows: int, flat_rows: int) -> list[tuple]:
+    """(tabela, linhas_validas, linhas, descartadas): what the joins left out, by table."""
+    return [
+        ("fato_movimentacao", valid_rows, fact_rows, valid_rows - fact_rows),
+        ("movimento_flat", valid_rows, flat_rows, valid_rows - flat_rows),
+    ]
 
 
 def run(
-    tables: Tables, output: str, run_id: str | None = None, with_csv: bool = True
+    tables: Tables,
+    output: str,
+    run_id: str | None = None,
+    with_csv: bool = True,
+    strict: bool = False,
+    check_rules: bool = True,
+    with_snowflake: bool = False,
+    single_csv: bool = False,
 ) -> Outcome:
     """Run everything and return what was measured. Rerunning replaces the outputs.
 
     The report is removed first and written last, so its presence says that the
-    other outputs are complete, also after a run that was cut short.
+    other outputs are complete, also after a run that was cut short. ``strict`` hides card numbers,
+    printed names and e-mails in all that is published. ``check_rules`` publishes the
+    violations of every rule of the source system. ``single_csv`` writes the brand
+    mart's CSV as one file in place of an ordered folder of files.
     """
     spark = tables.movements.sparkSession
     layout = Layout(output.rstrip("/"))
     storage.remove(spark, layout.report)
+    masked = mask_strict if strict else (lambda df: df)
 
-    quality = profile.measure(tables.movements, BUSINESS_KEY)
-    document = quality.document()
+    measured = profile.measure(tables.movements, BUSINESS_KEY)
+    figures = measured.report().first()
+    document = measured.document(figures)
+    if check_rules:
+        storage.write_table(constraints.summary(tables), layout.rules)
 
     valid = validity.valid_rows(tables.movements)
-    schema = star.assemble(
-        tables.members,
-        tables.accounts,
-        tables.cards,
-        valid,
-        interactions.per_member(tables.interactions),
-    )
-    write_star(schema, layout)
+    counts = interactions.per_member(tables.interactions)
+    storage.write_table(masked(star.dim_member(tables.members, counts)), layout.star("dim_associado"))
+    storage.write_table(star.dim_account(tables.accounts), layout.star("dim_conta"))
+    storage.write_table(masked(star.dim_card(tables.cards)), layout.star("dim_cartao"))
 
     # the member dimension is already masked and counted: read it back
     members = spark.read.parquet(layout.star("dim_associado"))
-    cards = flat.card_profile(tables.cards, tables.accounts, members)
-    storage.write_table(flat.as_contract(flat.attach(valid, cards)), layout.flat_parquet)
+    lookup = flat.card_lookup(masked(tables.cards), tables.accounts, members)
+    joined = new_folder(spark, "movements-wide")
+    try:
+        storage.write_by_month(flat.wide(valid, lookup), joined, "data_movimentacao")
+        wide = spark.read.parquet(joined)
+        # already brought together by month: written on without another shuffle
+        fact = flat.fact_of(wide, "mes")
+        fact.write.mode("overwrite").partitionBy("mes").parquet(layout.star("fato_movimentacao"))
+        storage.write_table(flat.as_contract(flat.view_of(wide)), layout.flat_parquet)
+    finally:
+        discard(spark, joined)
     published = spark.read.parquet(layout.flat_parquet)
     if with_csv:
         storage.write_csv(published, layout.flat_csv)
+    if with_snowflake:
+        flakes = snowflake.build(tables)
+        write_tables({name: masked(df) for name, df in flakes.items()}, layout.snowflake)
 
     storage.write_table(marts.brand_mart_of(published), layout.brand_parquet)
-    storage.export_csv(
-        spark.read.parquet(layout.brand_parquet),
-        layout.brand_csv,
-        [F.desc("valor_total"), F.asc("bandeira_cartao")],
+    brands = spark.read.parquet(layout.brand_parquet)
+    order = [F.desc("valor_total"), F.asc("bandeira_cartao")]
+    write_brands = storage.export_csv if single_csv else storage.write_csv_ordered
+    write_brands(brands, layout.brand_csv, order)
+
+    flat_rows = published.count()
+    fact_rows = read_fact(spark, layout.star("fato_movimentacao")).count()
+    lost = dropped_rows(figures["validas"], fact_rows, flat_rows)
+    storage.write_table(
+        spark.createDataFrame(
+            lost, "tabela string, linhas_validas bigint, linhas bigint, descartadas bigint"
+        ),
+        layout.dropped,
     )
-
     storage.write_document(spark, document, layout.report)
     if run_id is not None:
         history.record(files.read_report(spark, layout.report), run_id, layout.history)
-    return Outcome(layout, document, published.count())
+    return Outcome(layout, document, flat_rows)
 
 
 def dashboards(spark: SparkSession, output: str) -> dict[str, DataFrame]:
@@ -118,14 +207,26 @@ def dashboards(spark: SparkSession, output: str) -> dict[str, DataFrame]:
     layout = Layout(output.rstrip("/"))
     storage.require(spark, [layout.flat_parquet, layout.brand_parquet, layout.report])
     published = spark.read.parquet(layout.flat_parquet)
+    brands = spark.read.parquet(layout.brand_parquet)
     quality = files.read_report(spark, layout.report)
     kpis = marts.kpi_summary_of(published)
     return {
         "kpi_summary": kpis,
         "kpi_labels": marts.kpi_labels(kpis),
-        "brand_mart": spark.read.parquet(layout.brand_parquet),
+        "brand_mart": brands,
         "sample_rows": marts.sample_rows(published),
         "quality_headline": report.quality_headline(quality),
         "quality_bars": report.quality_bars(quality),
         "null_ranking": report.null_ranking(quality),
+        "chart_points": report.chart_points(brands, quality),
+        "null_series": report.null_series(quality),
     }
+
+
+def write_dashboards(spark: SparkSession, output: str) -> list[str]:
+    """Write every dashboard table below the run's outputs; their paths."""
+    layout = Layout(output.rstrip("/"))
+    tables = dashboards(spark, output)
+    for name in DASHBOARD_TABLES:
+        storage.write_table(tables[name], layout.dashboard(name))
+    return [layout.dashboard(name) for name in DASHBOARD_TABLES]

@@ -15,6 +15,7 @@ from tallylake.functions.presentation import brl, thousands
 from tallylake.operators import flat, validity
 from tallylake.schema import AMOUNT, Tables
 
+# Fixed values of the published sample.
 SAMPLE_ROWS = 8
 SAMPLE_COLUMNS = (
     "nome",

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from tallylake.functions.presentation import bar_width, severity_colour, severity_label
 from tallylake.operators.profile import ranking
 
-# More points than this make no chart. A longer series is refused, never cut.
-CHART_POINTS = 1_000
-
 
 def with_severity(df: DataFrame, share: str) -> DataFrame:
     return df.withColumns(
@@ -86,47 +83,61 @@ def quality_bars(report: DataFrame) -> DataFrame:
     return report.select(F.inline(F.array(*lines)))
 
 
-def _series(
-    rows: DataFrame, chart: str, order: dict[str, Column], fields: dict[str, Column]
-) -> DataFrame:
-    """One row of equally ordered JSON arrays, from at most ``CHART_POINTS`` rows."""
-    named = [c.alias(name) for name, c in (order | fields).items()]
-    points = rows.select(F.struct(*named).alias("point")).limit(CHART_POINTS + 1)
-    packed = points.agg(F.array_sort(F.collect_list("point")).alias("points"))
-    checked = F.when(
-        F.size("points") > CHART_POINTS,
-        F.raise_error(F.lit(f"chart {chart} has more than {CHART_POINTS} points")),
-    ).otherwise(F.col("points"))
-    return packed.select(checked.alias("points")).select(
+def _point(chart: str, position, label, value, count, colour) -> list[Column]:
+    return [
         F.lit(chart).alias("grafico"),
-        *[F.to_json(F.col(f"points.{name}")).alias(name) for name in fields],
+        position.cast("int").alias("posicao"),
+        label.alias("rotulo"),
+        value.cast("decimal(38,2)").alias("valor"),
+        count.cast("bigint").alias("quantidade"),
+        colour.cast("string").alias("cor"),
+    ]
+
+
+def brand_points(mart: DataFrame) -> DataFrame:
+    """A row per brand. The chart's order is by value, largest first, then by label."""
+    none = F.lit(None)
+    return mart.select(
+        *_point(
+            "bandeiras", none, F.col("bandeira_cartao"), F.col("valor_total"),
+            F.col("qtd_movimentacoes"), none,
+        )
     )
 
 
-def brand_series(mart: DataFrame) -> DataFrame:
-    """JSON arrays of brand names, totals and counts, largest total first."""
-    return _series(
-        mart,
-        "bandeiras",
-        {"by_total": -F.col("valor_total"), "by_name": F.col("bandeira_cartao")},
-        {
-            "rotulos": F.col("bandeira_cartao"),
-            "valores": F.col("valor_total").cast("decimal(38,2)"),
-            "quantidades": F.col("qtd_movimentacoes"),
-        },
+def null_points(report: DataFrame) -> DataFrame:
+    """A row per column. The chart's order is by value, largest first, then by position."""
+    shares = with_severity(null_shares(report), "percentual_nulos")
+    return shares.select(
+        *_point(
+            "nulos", F.col("posicao"), F.col("coluna"), F.col("percentual_nulos"),
+            F.lit(None), F.col("cor"),
+        )
     )
 
 
+def chart_points(mart: DataFrame, report: DataFrame) -> DataFrame:
+    """(grafico, posicao, rotulo, valor, quantidade, cor): the points of both charts."""
+    return brand_points(mart).unionByName(null_points(report))
+
+
 def null_series(report: DataFrame) -> DataFrame:
-    """JSON arrays of column names, null percentages and colours, worst first."""
-    share = F.col("percentual_nulos")
-    return _series(
-        with_severity(null_shares(report), "percentual_nulos"),
-        "nulos",
-        {"by_share": -share, "by_position": F.col("posicao")},
-        {
-            "rotulos": F.col("coluna"),
-            "valores": share.cast("decimal(38,2)"),
-            "cores": F.col("cor"),
-        },
+    """JSON arrays of column names, null percentages and colours, worst first.
+
+    They are as long as the profiled table has columns, all from the report's one row.
+    """
+    entries = F.transform(
+        F.map_entries("percentual_nulos_por_coluna"),
+        lambda e, i: F.struct(
+            (-e["value"]).alias("by_share"),
+            i.alias("by_position"),
+            e["key"].alias("rotulos"),
+            e["value"].cast("decimal(38,2)").alias("valores"),
+            severity_colour(e["value"]).alias("cores"),
+        ),
+    )
+    points = report.select(F.array_sort(entries).alias("points"))
+    return points.select(
+        F.lit("nulos").alias("grafico"),
+        *[F.to_json(F.col(f"points.{c}")).alias(c) for c in ("rotulos", "valores", "cores")],
     )

@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MEMBER = "associado"
@@ -21,7 +20,7 @@ INTERACTION = "historico_interacoes"
 
 AMOUNT = T.DecimalType(15, 2)
 
-# Two transactions that agree on all of these are copies of one another.
+# Two transactions that agree on all of these are copies of one another.
 BUSINESS_KEY = ("id_cartao", "vlr_transacao", "des_transacao", "data_movimentacao")
 
 
@@ -66,6 +65,7 @@ def _text(name: str, length: int, required: bool = True) -> Column:
     return Column(name, T.StringType(), required, length)
 
 
+# Names, types and limits of the source system.
 SPECS = {
     spec.name: spec
     for spec in (
@@ -165,8 +165,3 @@ class Tables:
             MOVEMENT: self.movements,
             INTERACTION: self.interactions,
         }
-
-
-def publish(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Select and rename: published name -> source column."""
-    return df.select([F.col(source).alias(name) for name, source in columns.items()])

@@ -29,5 +29,10 @@ def read_collection(
 def read_json_lines(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Scan the same documents exported as one JSON object per line."""
-    return spark.read.schema(schema or SPECS[INTERACTION].struct).json(path)
+    """Scan the same documents exported as one JSON object per line.
+
+    A line that is no JSON object, or a value of the wrong type, fails the job: as a row of
+    NULLs it would be counted as an interaction.
+    """
+    reader = spark.read.schema(schema or SPECS[INTERACTION].struct)
+    return reader.option("mode", "FAILFAST").json(path)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tallylake import schema as S
 from tallylake.sources import storage
 
+# The published names and types of the report.
 REPORT_SCHEMA = T.StructType(
     [
         T.StructField("movimentacoes_invalidas_descartadas_pct", T.DoubleType()),
@@ -44,8 +45,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """The quality report as one row; absent figures become zero, an absent map empty."""
-    raw = spark.read.schema(REPORT_SCHEMA).option("multiLine", "true").json(path)
+    """The quality report as one row; absent figures become zero, an absent map empty.
+
+    A document that is cut off or has a figure of the wrong type fails the job, and so does a
+    folder with no report or several: such a run must not look like a perfect one.
+    """
+    raw = spark.read.schema(REPORT_SCHEMA).options(multiLine="true", mode="FAILFAST").json(path)
+    names = raw.columns
+    one = raw.agg(F.count(F.lit(1)).alias("n"), F.first(F.struct(*names)).alias("report"))
+    checked = F.when(F.col("n") == 1, F.col("report")).otherwise(
+        F.raise_error(F.format_string("expected one quality report, found %d", F.col("n")))
+    )
+    raw = one.select(checked.alias("report")).select("report.*")
     body = F.col("metricas_movimentacao_bruta")
     empty_map = F.create_map().cast("map<string,double>")
     return raw.select(

@@ -1,4 +1,4 @@
-"""Writers. Big tables stay partitioned folders; single files are for small results.
+"""Writers. Tables are partitioned folders; a single file is written only on request.
 
 All path handling goes through Hadoop's FileSystem, so the same code works on
 HDFS, object stores and local disks.
@@ -32,9 +32,6 @@ MOMENT_OPTIONS = {
 # A CSV file is read by one task (see files.read_csv), so its size is bounded.
 CSV_ROWS_PER_FILE = 2_000_000
 
-# A single file passes through one task; larger results are refused, not cut.
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def _path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -100,45 +97,48 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**MOMENT_OPTIONS).json(path)
 
 
+def write_csv_ordered(df: DataFrame, path: str, order: Sequence[Column]) -> None:
+    """Replace a CSV folder whose files, by name, hold the rows in order.
+
+    Rows are range-partitioned, so any number of them is sorted by many tasks.
+    """
+    write_csv(df.orderBy(*order), path)
+
+
 def _single_file(
-    df: DataFrame, path: str, order: Sequence[Column], max_rows: int, fmt: str, options: dict
+    df: DataFrame, path: str, order: Sequence[Column], fmt: str, options: dict
 ) -> None:
     spark = df.sparkSession
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: write a partitioned table instead")
     staging = f"{path}.{uuid.uuid4().hex}"
     one = df.repartition(1)
     if order:
         one = one.sortWithinPartitions(*order)
-    one.write.mode("overwrite").format(fmt).options(**options).save(staging)
-
     fs, folder = _path(spark, staging)
     _, target = _path(spark, path)
-    parts = [
-        status.getPath()
-        for status in fs.listStatus(folder)
-        if status.getPath().getName().startswith("part-")
-    ]
-    if len(parts) != 1:
-        raise RuntimeError(f"expected one part file in {staging}, found {len(parts)}")
-    fs.delete(target, True)
-    if not fs.rename(parts[0], target):
-        raise RuntimeError(f"could not move the export to {path}")
-    fs.delete(folder, True)
+    try:
+        one.write.mode("overwrite").format(fmt).options(**options).save(staging)
+        parts = [
+            status.getPath()
+            for status in fs.listStatus(folder)
+            if status.getPath().getName().startswith("part-")
+        ]
+        if len(parts) != 1:
+            raise RuntimeError(f"expected one part file in {staging}, found {len(parts)}")
+        fs.delete(target, True)
+        if not fs.rename(parts[0], target):
+            raise RuntimeError(f"could not move the export to {path}")
+    finally:
+        fs.delete(folder, True)
 
 
-def export_csv(
-    df: DataFrame, path: str, order: Sequence[Column] = (), max_rows: int = SINGLE_FILE_ROWS
-) -> None:
-    """Export a small, already written result as one CSV file."""
-    _single_file(df, path, order, max_rows, "csv", CSV_OPTIONS | MOMENT_OPTIONS)
+def export_csv(df: DataFrame, path: str, order: Sequence[Column] = ()) -> None:
+    """One CSV file, for a caller who needs one: all rows pass through one task."""
+    _single_file(df, path, order, "csv", CSV_OPTIONS | MOMENT_OPTIONS)
 
 
-def export_parquet(
-    df: DataFrame, path: str, order: Sequence[Column] = (), max_rows: int = SINGLE_FILE_ROWS
-) -> None:
-    """Export a small, already written result as one Parquet file."""
-    _single_file(df, path, order, max_rows, "parquet", {})
+def export_parquet(df: DataFrame, path: str, order: Sequence[Column] = ()) -> None:
+    """One Parquet file, for a caller who needs one: all rows pass through one task."""
+    _single_file(df, path, order, "parquet", {})
 
 
 def write_document(spark: SparkSession, document: dict, path: str) -> None:

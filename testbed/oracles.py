@@ -373,6 +373,16 @@ ALL_RULES = f"""
     FROM x_cartao c JOIN conta t ON c.id_conta = t.id
     WHERE c.id_associado IS DISTINCT FROM t.id_associado"""
 
+CHART_POINTS = f"""
+    SELECT 'bandeiras' AS grafico, CAST(NULL AS INTEGER) AS posicao, bandeira_cartao AS rotulo,
+           CAST(valor_total AS DECIMAL(38,2)) AS valor, qtd_movimentacoes AS quantidade,
+           CAST(NULL AS VARCHAR) AS cor
+    FROM bandeiras
+    UNION ALL
+    SELECT 'nulos', CAST(posicao AS INTEGER), coluna, CAST(percentual_nulos AS DECIMAL(38,2)), NULL,
+           {_colour("percentual_nulos")}
+    FROM nulos"""
+
 ORACLES: dict[str, str] = {
     "scan_interactions": _with("historico", "SELECT * FROM historico"),
     "parquet_roundtrip": _with("flat", FLAT_TEXT),
@@ -517,26 +527,16 @@ ORACLES: dict[str, str] = {
                  UNION ALL SELECT 'registros_duplicados', pct_copias FROM medida
                  UNION ALL SELECT 'maior_percentual_nulos', max(percentual_nulos) FROM nulos)""",
     ),
-    "chart_series": _with(
-        "bandeiras nulos",
-        f"""SELECT 'bandeiras' AS grafico,
-                   '[' || string_agg('"' || bandeira_cartao || '"', ','
-                          ORDER BY valor_total DESC, bandeira_cartao) || ']' AS rotulos,
-                   '[' || string_agg(CAST(CAST(valor_total AS DECIMAL(38,2)) AS VARCHAR), ','
-                          ORDER BY valor_total DESC, bandeira_cartao) || ']' AS valores,
-                   '[' || string_agg(CAST(qtd_movimentacoes AS VARCHAR), ','
-                          ORDER BY valor_total DESC, bandeira_cartao) || ']' AS quantidades,
-                   CAST(NULL AS VARCHAR) AS cores
-            FROM bandeiras
-            UNION ALL
-            SELECT 'nulos',
+    "chart_series": _with("bandeiras nulos", CHART_POINTS),
+    "null_series": _with(
+        "nulos",
+        f"""SELECT 'nulos' AS grafico,
                    '[' || string_agg('"' || coluna || '"', ','
-                          ORDER BY percentual_nulos DESC, posicao) || ']',
+                          ORDER BY percentual_nulos DESC, posicao) || ']' AS rotulos,
                    '[' || string_agg(CAST(CAST(percentual_nulos AS DECIMAL(38,2)) AS VARCHAR), ','
-                          ORDER BY percentual_nulos DESC, posicao) || ']',
-                   NULL,
+                          ORDER BY percentual_nulos DESC, posicao) || ']' AS valores,
                    '[' || string_agg('"' || {_colour("percentual_nulos")} || '"', ','
-                          ORDER BY percentual_nulos DESC, posicao) || ']'
+                          ORDER BY percentual_nulos DESC, posicao) || ']' AS cores
             FROM nulos""",
     ),
     "severity_bands": _with(
@@ -586,6 +586,54 @@ ORACLES: dict[str, str] = {
            GROUP BY vlr_transacao, des_transacao, data_movimentacao, id_cartao""",
     ),
     "idempotent_merge": _with("cartao", UPSERTED),
-    "insert_new_members": _with("associado", "SELECT * FROM associado"),
+    "insert_new_members": _with(
+        "associado cartao",
+        """SELECT id, nome, sobrenome,
+                  CAST(CASE WHEN id IN (SELECT id_associado FROM cartao) THEN idade
+                            ELSE idade + 100 END AS INTEGER) AS idade, email, cpf
+           FROM associado""",
+    ),
     "quality_history": _with("movimentacao", HISTORY),
 }
+
+# A written table has the rows of the lazy one.
+ORACLES |= {
+    "run_dim_associado": ORACLES["dim_associado"],
+    "run_dim_conta": ORACLES["dim_conta"],
+    "run_dim_cartao": ORACLES["dim_cartao"],
+    "run_fato_movimentacao": ORACLES["fato_movimentacao"],
+    "run_movimento_flat": ORACLES["flat_contract_strings"],
+    "run_brand_csv": ORACLES["brand_mart"],
+    "run_chart_points": ORACLES["chart_series"],
+    "run_rules": ORACLES["check_all"],
+    "run_dropped_rows": _with(
+        BROKEN,
+        """SELECT tabela, validas AS linhas_validas, linhas, validas - linhas AS descartadas
+           FROM (SELECT 'fato_movimentacao' AS tabela, count(*) AS linhas
+                 FROM x_movimentacao m JOIN x_cartao c ON m.id_cartao = c.id
+                 WHERE m.vlr_transacao > 0
+                 UNION ALL
+                 SELECT 'movimento_flat', count(*)
+                 FROM x_movimentacao m JOIN x_cartao c ON m.id_cartao = c.id
+                      JOIN conta t ON c.id_conta = t.id
+                      JOIN x_associado a ON c.id_associado = a.id
+                 WHERE m.vlr_transacao > 0),
+                (SELECT count(*) AS validas FROM x_movimentacao WHERE vlr_transacao > 0)""",
+    ),
+    "offending_rows": _with(
+        BROKEN,
+        """SELECT 'primary_key' AS regra, id, 'id' AS coluna FROM x_movimentacao
+           WHERE id IN (SELECT id FROM x_movimentacao GROUP BY id HAVING count(*) > 1)
+           UNION ALL
+           SELECT 'unique', CAST(id AS VARCHAR), 'cpf' FROM x_associado
+           WHERE cpf IN (SELECT cpf FROM x_associado GROUP BY cpf HAVING count(*) > 1)
+           UNION ALL
+           SELECT 'not_null', id, 'vlr_transacao' FROM x_movimentacao WHERE vlr_transacao IS NULL
+           UNION ALL
+           SELECT 'foreign_key', id, 'id_cartao' FROM x_movimentacao
+           WHERE id_cartao IS NOT NULL AND id_cartao NOT IN (SELECT id FROM x_cartao)
+           UNION ALL
+           SELECT 'length', CAST(id AS VARCHAR), 'nom_impresso' FROM x_cartao
+           WHERE length(nom_impresso) > 100""",
+    ),
+}

@@ -21,7 +21,7 @@ from tallylake.operators import (
     validity,
 )
 from tallylake.plans import batch, history, marts, report
-from tallylake.schema import BUSINESS_KEY
+from tallylake.schema import BUSINESS_KEY, FOREIGN_KEYS
 from tallylake.sources import documents, files, storage
 from tallylake.workspace import new_folder
 from testbed import fixtures
@@ -102,6 +102,69 @@ def star_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _run(spark: SparkSession, sf_dir: str, **options) -> batch.Layout:
+    options = {"with_csv": False, "check_rules": False} | options
+    return batch.run(fixtures.load(spark, sf_dir), new_folder(spark, "run"), **options).layout
+
+
+@query
+def run_dim_associado(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each table as a whole run of the batch leaves it, every column."""
+    return spark.read.parquet(_run(spark, sf_dir).star("dim_associado"))
+
+
+@query
+def run_dim_conta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_run(spark, sf_dir).star("dim_conta"))
+
+
+@query
+def run_dim_cartao(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_run(spark, sf_dir).star("dim_cartao"))
+
+
+@query
+def run_fato_movimentacao(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch.read_fact(spark, _run(spark, sf_dir).star("fato_movimentacao"))
+
+
+@query
+def run_movimento_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_run(spark, sf_dir).flat_parquet)
+
+
+@query
+def run_brand_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = files.read_csv(spark, _run(spark, sf_dir).brand_csv)
+    return text.select(
+        "bandeira_cartao",
+        F.col("qtd_movimentacoes").cast("bigint").alias("qtd_movimentacoes"),
+        F.col("valor_total").cast("double").alias("valor_total"),
+    )
+
+
+@query
+def run_chart_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = _run(spark, sf_dir)
+    batch.write_dashboards(spark, layout.root)
+    return spark.read.parquet(layout.dashboard("chart_points"))
+
+
+@query
+def run_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The violations that a run publishes, on sources that break every rule."""
+    outcome = batch.run(fixtures.load_broken(spark, sf_dir), new_folder(spark, "run"), with_csv=False)
+    return spark.read.parquet(outcome.layout.rules)
+
+
+@query
+def run_dropped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid transactions that a run's joins leave out, on the same sources."""
+    broken = fixtures.load_broken(spark, sf_dir)
+    outcome = batch.run(broken, new_folder(spark, "run"), with_csv=False, check_rules=False)
+    return spark.read.parquet(outcome.layout.dropped)
+
+
 @query
 def dashboard_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sample as the dashboard gets it: a whole run, then read from its outputs."""
@@ -231,11 +294,9 @@ def dim_tempo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fato_com_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The snowflake's fact and card dimension, joined on their new keys."""
-    tables = snowflake.build(fixtures.load(spark, sf_dir))
-    card = tables["dim_cartao"].select("id_cartao", "id_bandeira")
-    fact = tables["fato_movimentacao"].select("id_movimentacao", "id_cartao", "id_data")
-    return fact.join(card, "id_cartao", "inner")
+    """The snowflake's fact with its two new keys."""
+    fact = snowflake.build(fixtures.load(spark, sf_dir))["fato_movimentacao"]
+    return fact.select("id_movimentacao", "id_cartao", "id_data", "id_bandeira")
 
 
 # --- marts and report tables -------------------------------------------------
@@ -248,7 +309,7 @@ def brand_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def brand_mart_from_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.brand_mart_of(flat_contract_strings(spark, sf_dir))
+    return marts.brand_mart_of(parquet_roundtrip(spark, sf_dir))
 
 
 @query
@@ -258,7 +319,7 @@ def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_summary_from_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.kpi_summary_of(flat_contract_strings(spark, sf_dir))
+    return marts.kpi_summary_of(parquet_roundtrip(spark, sf_dir))
 
 
 @query
@@ -288,9 +349,12 @@ def quality_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    brands = report.brand_series(brand_mart(spark, sf_dir))
-    nulls = report.null_series(_profile(spark, sf_dir).report())
-    return brands.unionByName(nulls, allowMissingColumns=True)
+    return report.chart_points(brand_mart(spark, sf_dir), _profile(spark, sf_dir).report())
+
+
+@query
+def null_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.null_series(_profile(spark, sf_dir).report())
 
 
 @query
@@ -370,6 +434,30 @@ def check_member_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.cards_of_other_members(fixtures.load_broken(spark, sf_dir))
 
 
+@query
+def offending_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(regra, id, coluna): the rows behind K1 to K5, one rule of each kind."""
+    t = fixtures.load_broken(spark, sf_dir)
+    fk = next(k for k in FOREIGN_KEYS if k.column == "id_cartao")
+
+    def named(rule: str, rows: DataFrame, column: str) -> DataFrame:
+        return rows.select(
+            F.lit(rule).alias("regra"), F.col("id").cast("string").alias("id"), F.lit(column).alias("coluna")
+        )
+
+    return (
+        named("primary_key", constraints.rows_with_repeated(t.movements, "id"), "id")
+        .unionByName(named("unique", constraints.rows_with_repeated(t.members, "cpf"), "cpf"))
+        .unionByName(
+            named("not_null", constraints.rows_with_null(t.movements, "vlr_transacao"), "vlr_transacao")
+        )
+        .unionByName(named("foreign_key", constraints.rows_without_parent(t, fk), "id_cartao"))
+        .unionByName(
+            named("length", constraints.rows_longer_than(t.cards, "nom_impresso", 100), "nom_impresso")
+        )
+    )
+
+
 @query
 def check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.summary(fixtures.load_broken(spark, sf_dir))
@@ -398,24 +486,28 @@ def dedup_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def idempotent_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cards loaded twice with a batch that renames and repeats the recent ones."""
+    """Cards loaded twice with a batch that renames and repeats the recent ones, then an old load again."""
     target = fixtures.cards(spark, sf_dir)
     recent = target.where(F.col("data_criacao") >= F.lit("1998-01-01").cast("timestamp_ntz"))
     later = F.col("data_criacao") + F.expr("interval 1 day")
     renamed = recent.withColumns({"nom_impresso": F.lower("nom_impresso"), "data_criacao": later})
     loaded = recent.unionByName(renamed)
     once = reload.upsert(target, loaded, ["id"], ["data_criacao"])
-    return reload.upsert(once, loaded, ["id"], ["data_criacao"])
+    twice = reload.upsert(once, loaded, ["id"], ["data_criacao"])
+    earlier = F.col("data_criacao") - F.expr("interval 9 days")
+    stale = target.withColumns({"nom_impresso": F.lit("STALE"), "data_criacao": earlier})
+    return reload.upsert(twice, stale, ["id"], ["data_criacao"])
 
 
 @query
 def insert_new_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members who hold a card are on file already; then everybody is loaded, twice over."""
+    """Members who hold a card are on file already; then all are loaded with another age, twice over."""
     everybody = fixtures.members(spark, sf_dir)
-    holders = fixtures.cards(spark, sf_dir).select(F.col("id_associado").alias("holder"))
+    holders = fixtures.cards(spark, sf_dir).select(F.col("id_associado").alias("holder")).distinct()
     on_file = everybody.join(holders, F.col("id") == F.col("holder"), "left_semi")
-    loaded = reload.insert_new(on_file, everybody.unionByName(everybody), ["id"])
-    return reload.insert_new(loaded, everybody, ["id"])
+    older = everybody.withColumn("idade", F.col("idade") + 100)
+    loaded = reload.insert_new(on_file, older.unionByName(older), ["id"])
+    return reload.insert_new(loaded, older, ["id"])
 
 
 @query

@@ -12,7 +12,10 @@ MOVEMENT = (
     "id int, vlr_transacao decimal(15,2), des_transacao string, data_movimentacao string, "
     "id_cartao int"
 )
-LOG = "associado_id int, canal string"
+LOG = (
+    "associado_id int, canal string, tipo_interacao string, mensagem string, "
+    "data_interacao string, metadata struct<dispositivo:string,satisfacao:int>"
+)
 
 
 def movements(spark, rows):
@@ -51,5 +54,8 @@ def two_members(spark) -> Tables:
                 (9003, "7.05", "Estacionamento", "2023-02-12 20:00:01", 702),
             ],
         ),
-        interactions=spark.createDataFrame([(1, "app"), (1, "email"), (1, "app")], LOG),
+        interactions=spark.createDataFrame(
+            [(1, c, "duvida", "x", "2024-01-01 00:00:00", ("web", 3)) for c in ("app", "email", "app")],
+            LOG,
+        ),
     )

@@ -1,5 +1,6 @@
 import csv
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from tallylake.operators import flat, profile, snowflake
 from tallylake.plans import batch, history, marts, report
 from tallylake.schema import BUSINESS_KEY, Tables
 from tallylake.sources import files, storage
+from tallylake.workspace import session_folder
 from testbed import fixtures
 
 
@@ -39,8 +41,10 @@ def test_report_document(outcome):
 
 
 def test_brands_are_exported_in_order(outcome):
-    with open(outcome.layout.brand_csv, newline="", encoding="utf-8") as f:
-        rows = [tuple(r.values()) for r in csv.DictReader(f)]
+    rows = []
+    for part in sorted(Path(outcome.layout.brand_csv).glob("part-*")):
+        with open(part, newline="", encoding="utf-8") as f:
+            rows += [tuple(r.values()) for r in csv.DictReader(f)]
     assert [(b, int(n), float(v)) for b, n, v in rows] == [
         ("2-HIGH", 1215, 63917621.12),
         ("3-MEDIUM", 1208, 62229021.64),
@@ -197,14 +201,26 @@ def test_chart_arrays_share_one_order(spark, sf_dir):
     assert json.loads(series.cores)[:2] == ["#B8862C", "#1F4D3A"]
 
 
-def test_overlong_chart_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(report, "CHART_POINTS", 3)
-    mart = spark.range(4).selectExpr(
+def test_chart_has_a_row_per_brand_however_many(spark, sf_dir):
+    mart = spark.range(1500).selectExpr(
         "cast(id as string) as bandeira_cartao", "id as qtd_movimentacoes", "1.0D as valor_total"
     )
-    with pytest.raises(Exception, match="more than 3 points"):
-        report.brand_series(mart).collect()
-    assert len(json.loads(report.brand_series(mart.limit(3)).first().rotulos)) == 3
+    assert report.brand_points(mart).count() == 1500
+
+
+def test_share_is_the_same_in_report_document_and_history(spark, tmp_path):
+    rows = spark.range(800).selectExpr(
+        "id", "id as id_cartao", "cast(if(id = 0, -1, 1) as decimal(15,2)) as vlr_transacao",
+        "'x' as des_transacao", "timestamp_ntz '2024-01-01 00:00:00' as data_movimentacao",
+    )
+    measured = profile.measure(rows, BUSINESS_KEY)
+    share = "movimentacoes_invalidas_descartadas_pct"
+    assert measured.report().first()[share] == measured.document()[share] == 0.13
+    path = str(tmp_path / "r.json")
+    storage.write_document(spark, measured.document(), path)
+    history.record(files.read_report(spark, path), "a", str(tmp_path / "h"))
+    stored = history.read(spark, str(tmp_path / "h")).where(F.col("metrica") == share)
+    assert stored.first().valor == 0.13
 
 
 def test_history_keeps_other_runs(spark, tmp_path):
@@ -214,3 +230,55 @@ def test_history_keeps_other_runs(spark, tmp_path):
         history.record(measured, run_id, path)
     counts = {r.run_id: r["count"] for r in history.read(spark, path).groupBy("run_id").count().collect()}
     assert counts == {"a": 9, "b": 9}
+
+
+def test_strict_run_publishes_nothing_in_clear(spark, tmp_path):
+    t = two_members(spark)
+    outcome = batch.run(t, str(tmp_path / "out"), strict=True, with_snowflake=True, run_id="a")
+    batch.write_dashboards(spark, outcome.layout.root)
+    secrets = {r.email for r in t.members.collect()}
+    secrets |= {x for r in t.cards.collect() for x in (r.num_cartao, r.nom_impresso)}
+    published = 0
+    for path in (tmp_path / "out").rglob("*.parquet"):
+        if path.is_dir():
+            continue
+        for row in spark.read.parquet(str(path)).collect():
+            published += 1
+            assert not secrets & {str(v) for v in row.asDict().values()}
+    text = "".join(p.read_text() for p in (tmp_path / "out").rglob("part-*.csv"))
+    assert published and not any(secret in text for secret in secrets)
+
+
+def test_single_brand_file_on_request(spark, tmp_path):
+    outcome = batch.run(
+        two_members(spark), str(tmp_path / "out"), single_csv=True, check_rules=False, with_csv=False
+    )
+    assert Path(outcome.layout.brand_csv).is_file()
+
+
+def test_many_brands_pass_through_the_batch(spark, tmp_path):
+    t = two_members(spark)
+    n = 1_100
+    cards = spark.range(1, n + 1).selectExpr(
+        "cast(id as int) as id", "cast(id as string) as num_cartao", "'X' as nom_impresso",
+        "concat('brand ', id) as bandeira", "timestamp_ntz '2024-01-01 00:00:00' as data_criacao",
+        "cast(1 as int) as id_conta", "cast(1 as int) as id_associado",
+    )
+    one = t.accounts.limit(1)
+    account = one.select(*[F.lit(1).cast("int").alias(c) if c in ("id", "id_associado") else c for c in one.columns])
+    member = t.members.limit(1).withColumn("id", F.lit(1).cast("int"))
+    moves = spark.range(1, n + 1).selectExpr(
+        "cast(id as int) as id", "cast(1 as decimal(15,2)) as vlr_transacao", "'x' as des_transacao",
+        "timestamp_ntz '2024-01-01 00:00:00' as data_movimentacao", "cast(id as int) as id_cartao",
+    )
+    tables = Tables(member, account, cards, moves, t.interactions)
+    outcome = batch.run(tables, str(tmp_path / "out"), check_rules=False)
+    assert outcome.flat_rows == n
+    points = batch.dashboards(spark, outcome.layout.root)["chart_points"]
+    assert points.where("grafico = 'bandeiras'").count() == n
+
+
+def test_wide_table_is_removed_after_the_run(spark, tmp_path):
+    batch.run(two_members(spark), str(tmp_path / "out"), check_rules=False, with_csv=False)
+    left = Path(session_folder(spark).removeprefix("file:"))
+    assert not list(left.glob("movements-wide-*"))

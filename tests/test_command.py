@@ -8,9 +8,11 @@ from tallylake.sources import documents, relational
 
 
 def test_options():
-    options = command.parse(["--output-dir", "/x", "--parts", "4", "--no-csv"])
+    options = command.parse(
+        ["--output-dir", "/x", "--parts", "4", "--no-csv", "--shuffle-partitions", "8", "--strict"]
+    )
     assert (options.output_dir, options.parts, options.no_csv) == ("/x", 4, True)
-    assert options.run_id is None
+    assert options.run_id is None and options.strict and not options.dashboards
     with pytest.raises(SystemExit):
         command.parse([])
 
@@ -31,8 +33,14 @@ def test_whole_command(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(documents, "read_collection", lambda session: tables.interactions)
     monkeypatch.setattr(command, "build_session", lambda **options: spark)
 
-    done = command.main(["--output-dir", str(tmp_path / "out"), "--parts", "7"])
+    out = str(tmp_path / "out")
+    kept = []
+    monkeypatch.setattr(command, "new_folder", lambda session, label: kept.append(str(tmp_path / label)) or kept[0])
+    line = ["--output-dir", out, "--parts", "7", "--shuffle-partitions", "8", "--dashboards"]
+    done = command.main(line)
     assert done.flat_rows == 3
+    assert kept and not (tmp_path / "snapshot").exists()
+    assert (tmp_path / "out" / "dashboard" / "chart_points.parquet").exists()
     assert (tmp_path / "out" / "data_quality_report.json").exists()
     assert dict(asked)["movimentacao"] == relational.KeyRange("id", 1, 9004, 7)
     assert {name for name, _ in asked} == {"associado", "conta", "cartao", "movimentacao"}

@@ -5,7 +5,6 @@ from tallylake.functions import masking
 from tallylake.functions.presentation import (
     bar_width,
     brl,
-    exact_percent,
     percent,
     severity_colour,
     severity_label,
@@ -53,7 +52,10 @@ def test_card_number(spark, given, masked):
 def test_printed_name_and_email(spark):
     assert _apply(spark, masking.mask_printed_name, "ANA  DO PRADO") == "A.  D. P."
     assert _apply(spark, masking.mask_email, "ana@mail.test") == "a***@mail.test"
-    assert _apply(spark, masking.mask_email, "@mail.test") == "@mail.test"
+    assert _apply(spark, masking.mask_email, "a@mail.test") == "***@mail.test"
+    for odd in ("@mail.test", "maria", "", "a b@mail.test", "ana@", "ana@x@mail.test"):
+        assert _apply(spark, masking.mask_email, odd) == "***"
+    assert _apply(spark, masking.mask_email, None) is None
 
 
 @pytest.mark.parametrize(
@@ -95,4 +97,3 @@ def test_percent(spark):
     df = spark.createDataFrame([(1, 3), (0, 0), (2, 2)], "a bigint, b bigint")
     got = [r[0] for r in df.select(percent(F.col("a"), F.col("b"))).collect()]
     assert got == [33.33, 0.0, 100.0]
-    assert [exact_percent(1, 3), exact_percent(0, 0), exact_percent(2, 2)] == got

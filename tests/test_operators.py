@@ -313,6 +313,20 @@ def test_upsert_twice_is_upsert_once(spark):
     assert sorted(tuple(r) for r in twice.collect()) == sorted(want)
 
 
+def test_upsert_keeps_the_newer_row_of_the_target(spark):
+    target = spark.createDataFrame([(1, 3, "new"), (2, 1, "old")], "id int, v int, x string")
+    batch = spark.createDataFrame([(1, 1, "late"), (2, 1, "same")], "id int, v int, x string")
+    loaded = reload.upsert(target, batch, ["id"], ["v"])
+    assert {tuple(r) for r in loaded.collect()} == {(1, 3, "new"), (2, 1, "same")}
+
+
+def test_bad_amount_fails(spark):
+    row = dict.fromkeys(flat.COLUMNS, "1") | {"vlr_transacao_movimento": "12,30"}
+    published = spark.createDataFrame([row]).select(*flat.COLUMNS)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        flat.as_typed(published.withColumn("data_movimentacao", F.lit("2024-01-01 00:00:00"))).collect()
+
+
 def test_insert_new_leaves_the_target_alone(spark):
     target = spark.createDataFrame([(1, "a"), (1, "a")], "id int, x string")
     batch = spark.createDataFrame([(1, "z"), (2, "c"), (2, "b")], "id int, x string")

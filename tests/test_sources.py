@@ -115,10 +115,43 @@ def test_single_parquet_is_one_file(spark, tmp_path):
     assert spark.read.parquet(path).count() == 10
 
 
-def test_large_result_is_not_squeezed_into_one_file(spark, tmp_path):
-    with pytest.raises(ValueError, match="more than 5 rows"):
-        storage.export_csv(spark.range(6), str(tmp_path / "x.csv"), max_rows=5)
-    assert not (tmp_path / "x.csv").exists()
+def test_ordered_csv_is_a_folder_of_files_in_order(spark, tmp_path):
+    path = str(tmp_path / "out")
+    storage.write_csv_ordered(spark.range(1000).repartition(7), path, [F.desc("id")])
+    ids = []
+    for part in sorted((tmp_path / "out").glob("part-*")):
+        ids += [int(line) for line in part.read_text().split()[1:]]
+    assert ids == list(range(999, -1, -1))
+
+
+def test_failed_export_leaves_nothing_behind(spark, tmp_path):
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("string").alias("x"))
+    with pytest.raises(Exception, match="no"):
+        storage.export_csv(bad, str(tmp_path / "x.csv"))
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_broken_report_fails(spark, tmp_path):
+    cut = tmp_path / "cut.json"
+    cut.write_text('{"movimentacoes_invalidas_descartadas_pct": 42.0, "metr')
+    wrong = tmp_path / "wrong.json"
+    wrong.write_text('{"movimentacoes_invalidas_descartadas_pct": "many"}')
+    for path in (cut, wrong):
+        with pytest.raises(Exception):
+            files.read_report(spark, str(path)).collect()
+    (tmp_path / "two").mkdir()
+    for name in "ab":
+        (tmp_path / "two" / f"{name}.json").write_text("{}")
+    with pytest.raises(Exception, match="found 2"):
+        files.read_report(spark, str(tmp_path / "two")).collect()
+
+
+def test_broken_document_fails(spark, tmp_path):
+    good = '{"associado_id": 1, "canal": "app"}\n'
+    for bad in ("not json\n", '{"associado_id": "x"}\n'):
+        (tmp_path / "log.json").write_text(good + bad)
+        with pytest.raises(Exception):
+            documents.read_json_lines(spark, str(tmp_path / "log.json")).collect()
 
 
 def test_report_defaults(spark, tmp_path):
