@@ -166,8 +166,11 @@ def run(
     lookup = flat.card_lookup(masked(tables.cards), tables.accounts, members)
     joined = new_folder(spark, "movements-wide")
     try:
-        storage.write_by_month(flat.wide(valid, lookup), joined, "data_movimentacao")
-        wide = spark.read.parquet(joined)
+        together = flat.wide(valid, lookup)
+        storage.write_by_month(together, joined, "data_movimentacao")
+        # the schema is given, since a table without rows has no file to take it from
+        wide = spark.read.schema(together.schema.add("mes", "string")).parquet(joined)
+        fact_rows = wide.count()
         # already brought together by month: written on without another shuffle
         fact = flat.fact_of(wide, "mes")
         fact.write.mode("overwrite").partitionBy("mes").parquet(layout.star("fato_movimentacao"))
@@ -188,7 +191,6 @@ def run(
     write_brands(brands, layout.brand_csv, order)
 
     flat_rows = published.count()
-    fact_rows = read_fact(spark, layout.star("fato_movimentacao")).count()
     lost = dropped_rows(figures["validas"], fact_rows, flat_rows)
     storage.write_table(
         spark.createDataFrame(
