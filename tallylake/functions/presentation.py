@@ -17,8 +17,19 @@ BAR_SCALE, BAR_FULL = 4, 100
 
 
 def percent(part: Column, total: Column) -> Column:
-    """Share of ``part`` in ``total`` with two decimals; 0.0 of nothing."""
-    return F.when(total > 0, F.round(part / total * 100, 2)).otherwise(F.lit(0.0))
+    """Share of ``part`` in ``total`` with two decimals; 0.0 of nothing.
+
+    Rounds the double's exact value, ties to even, as the published reports do: the share is split
+    into a high and a low half, so that its distance from the tie keeps its sign.
+    """
+    share = part / total * 100
+    low = F.floor(share * 100)
+    tie = (low * 2 + 1).cast("double")
+    spread = share * F.lit(134217729.0)  # 2^27 + 1
+    high = spread - (spread - share)
+    over = (high * 200 - tie) + (share - high) * 200
+    up = F.when(over > 0, 1).when(over < 0, 0).otherwise(low % 2)
+    return F.when(total > 0, (low + up) / F.lit(100.0)).otherwise(F.lit(0.0))
 
 
 def _band(value: Column, pick: int) -> Column:

@@ -97,3 +97,10 @@ def test_percent(spark):
     df = spark.createDataFrame([(1, 3), (0, 0), (2, 2)], "a bigint, b bigint")
     got = [r[0] for r in df.select(percent(F.col("a"), F.col("b"))).collect()]
     assert got == [33.33, 0.0, 100.0]
+
+
+def test_percent_rounds_like_python(spark):
+    pairs = [(n, d) for d in (3, 7, 32, 160, 400, 800, 1000, 4000, 20000) for n in range(0, d + 1, max(1, d // 700))]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    for a, b, got in df.select("a", "b", percent(F.col("a"), F.col("b"))).collect():
+        assert got == round(a / b * 100, 2)
