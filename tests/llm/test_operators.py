@@ -1,0 +1,313 @@
+"""The ten operators against brute force on hand-made rows."""
+
+import hashlib
+import json
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from tallylake.llm import (
+    decontamination,
+    licenses,
+    link_graph,
+    mixing,
+    near_duplicates,
+    private_data,
+    quality,
+    suffix_tree,
+    tokens,
+    toxicity,
+)
+from tallylake.llm.components import components
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = [f"{a}{b}" for a in ("ba", "ko", "mi", "tu", "re", "sal") for b in ("n", "ra", "lo", "vis", "dek", "mu")]
+
+
+def documents(spark, texts, sources=None):
+    rows = [
+        (i, text, "en", sources[i] if sources else f"s{i % 3}", len(text or ""))
+        for i, text in enumerate(texts)
+    ]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+def prose(n, seed):
+    return " ".join(random.Random(seed).choices(WORDS, k=n))
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+
+
+ODD = [None, "", " \t\n", "one", "One  one\x0bONE", "naïve É x", "日本語 テキスト。\n\n日本語", "a\x00b c", "🙂 " * 40]
+
+
+def test_base_scores_match_counting_by_hand(spark):
+    texts = ODD + [prose(5 + i % 40, i) for i in range(120)]
+    docs = documents(spark, texts)
+    tree, counts = suffix_tree.train(docs)
+    got = {r.doc_id: r for r in suffix_tree.score(docs, tree, counts).collect()}
+    tokenised = {i: words_of(lower(t)) + [None] for i, t in enumerate(texts)}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokenised}
+    seen = Counter(w for i, ws in tokenised.items() if not held[i] for w in ws)
+    total = sum(seen.values())
+    assert len(got) == len(texts) and any(held.values())
+    for i, ws in tokenised.items():
+        base = sum(math.log10((seen[w] + 1) / (total + len(seen) + 1)) for w in ws)
+        row = got[i]
+        assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens) == (
+            held[i], len(ws), sum(seen[w] > 0 for w in ws), total,
+        )
+        assert row.base_score == pytest.approx(base, abs=1e-9)
+        assert row.score <= 0
+
+
+def test_the_suffix_tree_uses_longer_contexts(spark):
+    texts = ["ka lo mi " * 30 if i % 2 else "mi lo ka " * 30 for i in range(60)]
+    docs = documents(spark, texts)
+    tree, counts = suffix_tree.train(docs)
+    rows = suffix_tree.score(docs, tree, counts).collect()
+    assert any(level.kept.any() for level in tree.levels)
+    assert all(r.score > r.base_score + 10 for r in rows if r.held_out)
+
+
+def test_chances_of_a_context_sum_to_at_most_one(spark):
+    docs = documents(spark, [prose(80, i) for i in range(60)])
+    tree, _ = suffix_tree.train(docs)
+    chance = (tree.counts + 1) / tree.mass
+    level = tree.levels[0]
+    for context in range(len(tree.counts)):
+        own = level.context == context
+        rest = 10 ** level.log_rest[context]
+        known = set((level.codes[own] % tree.base).tolist())
+        left = sum(c for k, c in enumerate(chance) if k not in known)
+        assert (10 ** level.log_chance[own]).sum() + rest * left <= 1 + 1e-9
+
+
+def test_token_counts_equal_the_library(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    library = pytest.importorskip("tokenizers").Tokenizer.from_file(
+        str(public_tokenizers.path("byte_bpe_50k.json"))
+    )
+    texts = ODD + [
+        "<|endoftext|> inside <|endoftext|>", "don't they'll I'VE", "x" * 5000, " " * 900 + "y", "12345 6,789\r\n\t ok ",
+        "áé ​﻿", prose(3000, 1), "ÀÈ" * 700, "!?" * 800,
+    ]
+    got = {r.doc_id: r for r in tokens.token_counts(documents(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        count = len(library.encode(text or "", add_special_tokens=False).ids)
+        assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (
+            len((text or "").encode()), count, count > 512,
+        ), text
+
+
+def test_benchmark_copies_are_found_and_others_are_not(spark):
+    item = prose(40, 900)
+    edited = item.split()
+    edited[7], edited[21] = "changed", "words"
+    del edited[30]
+    texts = [prose(60, 1) + " " + item + " " + prose(60, 2), prose(30, 3) + " " + " ".join(edited).upper()]
+    texts += ["unrelated text about nothing at all " * 20, None, "", prose(100, 4)]
+    docs = documents(spark, texts)
+    bench = spark.createDataFrame([(7, item), (8, None), (9, ""), (None, "x")], "item_id long, text string")
+    rows = {r.doc_id: r for r in decontamination.contaminated(docs, bench).filter("item_id = 7").collect()}
+    assert set(rows) == {0, 1}
+    assert rows[0].similarity == 1.0 and (rows[0].first_word, rows[0].end_word) == (60, 100)
+    assert rows[1].similarity < 1.0
+    left = decontamination.without_contaminated(docs, bench)
+    assert left.columns == docs.columns
+    assert {r.doc_id for r in left.collect()} == {2, 3, 4, 5}
+
+
+def brute_groups(texts, width, percent):
+    sets = []
+    for text in texts:
+        ws = words_of(lower(text))
+        n = min(width, len(ws))
+        sets.append({tuple(ws[k : k + n]) for k in range(len(ws) - n + 1)} if ws else set())
+    root = list(range(len(texts)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                low, high = sorted((top(a), top(b)))
+                root[high] = low
+    return [(len(s), top(i)) for i, s in enumerate(sets)]
+
+
+@pytest.mark.parametrize("blocks", [None, (4, 64)])
+def test_near_duplicates_match_all_pairs(spark, monkeypatch, blocks):
+    if blocks:  # many blocks a group
+        monkeypatch.setattr(near_duplicates, "BUCKET_BLOCK", blocks[0])
+        monkeypatch.setattr(near_duplicates, "SET_BLOCK", blocks[1])
+    rng = random.Random(5)
+    texts = list(ODD) + ["one", "", None]
+    for k in range(8):
+        base = prose(rng.choice([6, 30, 120]), 100 + k).split()
+        for _ in range(rng.choice([1, 3, 9])):
+            copy = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                copy[rng.randrange(len(copy))] = f"edit{rng.randrange(99)}"
+            texts.append(" ".join(copy))
+    got = {r.doc_id: r for r in near_duplicates.grouped(documents(spark, texts)).collect()}
+    for i, (size, group) in enumerate(brute_groups(texts, 3, 85)):
+        assert (got[i].n_shingles, got[i].component_id, got[i].kept) == (size, group, group == i)
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
+    got = {r.node: r.component for r in components(edges).collect()}
+    assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_mix_meets_its_targets(spark):
+    sources = [["hot", "b", None, "c"][min(3, i % 7)] for i in range(400)]
+    texts = [None if i % 50 == 0 else prose(1 + i % 90, i) for i in range(400)]
+    docs = documents(spark, texts, sources)
+    rows = mixing.mix(docs).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, mixing.mix(docs).collect()), key=str)
+    total = sum(r.size for r in rows)
+    size, target, taken = Counter(), {}, Counter()
+    for r in rows:
+        source = sources[r.doc_id]
+        assert r.size == len(words_of(texts[r.doc_id])) and 0 <= r.taken <= 2 * r.size
+        size[source] += r.size
+        taken[source] += r.taken
+        target[source] = r.target
+        assert r.source_size == sum(len(words_of(t)) for t, s in zip(texts, sources) if s == source)
+    for source in target:
+        assert target[source] <= 2 * size[source] + 1e-6
+        assert abs(taken[source] - target[source]) <= 1
+    assert sum(target.values()) == pytest.approx(1.5 * total)
+
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def passes(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "ip":
+        return all(int(part) <= 255 for part in value.split("."))
+    if kind == "card":
+        doubled = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(digits))]
+        return 12 <= len(digits) <= 19 and sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def base_spans(text):
+    found = []
+    for k, (kind, pattern) in enumerate(BASE.items()):
+        for m in re.finditer(pattern, text or ""):
+            if passes(kind, m.group()):
+                found.append((m.start(), k, f"{kind}:{m.start()}:{m.end()}"))
+    return [s for _, _, s in sorted(found)]
+
+
+PRIVATE = [
+    "mail ana.b+x@mail.example.org, or @x a@b a@b. a@b.c.", "ip 10.0.0.1 and 1.2.3.4.5.6.7.8 999.1.1.1 256.1.1.1.2",
+    "card 4111 1111 1111 1111 4111-1111-1111-1112", "call +49 (30) 123-456.78 or +1 or +123456789012345678",
+    "🙂🙂 a@b.co 🙂 10.1.1.1", "x@y..z a@@b.c a@b-.c-d", "7" * 600, "1.1.1.1" * 40, "+" * 50 + "1 2", "a@" * 300,
+    "00000000000000000000 000000000000 0.0.0.0", "contact: bob (at) mail (dot) org",
+]
+
+
+def test_private_data_matches_the_base_patterns(spark):
+    texts = ODD + PRIVATE * 3
+    for r in private_data.detected(documents(spark, texts)).collect():
+        base = base_spans(texts[r.doc_id])
+        kinds = Counter(s.split(":")[0] for s in base)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [kinds[k] for k in BASE], texts[r.doc_id]
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert set(base) <= set(r.spans.split(",") if r.spans else [])
+
+
+def test_redaction_takes_the_spans_out(spark):
+    docs = documents(spark, ["write to ana@mail.org now", None, "clean", "10.0.0.1"])
+    got = private_data.redacted(docs)
+    assert got.columns == docs.columns
+    assert {r.doc_id: r.text for r in got.collect()} == {
+        0: "write to [EMAIL] now", 1: None, 2: "clean", 3: "[IP]",
+    }
+
+
+def test_toxicity_learns_from_labels_it_may_see(spark):
+    rng = random.Random(2)
+    texts, labels = [], []
+    for i in range(600):
+        bad = i % 4 == 0
+        body = [prose(8, i * 10 + k) for k in range(rng.randrange(1, 6))]
+        if bad:
+            body.insert(rng.randrange(len(body) + 1), prose(3, i) + " vile scum " + prose(2, i))
+        texts.append(". ".join(body) + ".")
+        labels.append((i, 1, int(bad)))
+    docs = documents(spark, texts)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, table)
+    rows = toxicity.score(docs, model).collect()
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in range(600) if zlib.crc32(str(i).encode()) % 3 == 1}
+    assert sum(r.predicted == labels[r.doc_id][2] for r in held) >= 0.97 * len(held)
+    # labels of held-out rows have no influence
+    other = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 3 == 1 else t) for i, q, t in labels]
+    again = toxicity.train(docs, spark.createDataFrame(other, "doc_id long, quality int, toxic int"))
+    assert again.weights == model.weights
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
+
+
+def test_word_and_line_measures(spark):
+    texts = ODD + ["a b c a b c\na b c\na b c", "x # $ %\nx # $ %\n\nx # $ %", prose(200, 3), "go " * 90]
+    for r in quality.measures(documents(spark, texts)).collect():
+        text = texts[r.doc_id] or ""
+        ws = words_of(text)
+        windows = Counter(tuple(ws[k : k + 3]) for k in range(len(ws) - 2))
+        inside = {k + d for k in range(len(ws) - 2) if windows[tuple(ws[k : k + 3])] > 1 for d in range(3)}
+        lines = [x for x in text.split("\n") if words_of(x)]
+        failed = len(ws) < 50 or 100 * len(inside) > 50 * len(ws)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == (
+            len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)),
+            len(inside), failed,
+        ), text
+        assert not (failed and r.kept)
+
+
+def test_license_templates_are_found(spark):
+    name, template = next(iter(licenses.TEMPLATES.items()))
+    texts = [prose(300, 1) + " " + template + " " + prose(300, 2), prose(400, 5), None, ""]
+    rows = licenses.scan(documents(spark, texts)).collect()
+    assert {(r.doc_id, r.license) for r in rows} == {(0, name)} and rows[0].containment == 1.0
+
+
+def test_rules_and_links_judge_pages(spark):
+    rows = [
+        (1, "https://A.Example.org/es/x", ""), (2, "http://a.org", '<a href="https://good.net/x">'),
+        (3, "http://shop.com/de/1?q", '<a href="https://bad.net/y">'), (4, "http://shop.com/fr/", ""),
+        (5, "https://bad.net/z", '<a href="https://bad.net/y">'), (6, "https://good.net", ""), (7, None, None), (8, "nohost", ""),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in link_graph.judged(pages).collect()}
+    assert got[1] == ("a.example.org", "/es/x", "example.org/es/", "block")
+    assert got[2][:3] == ("a.org", "", None) or got[2][2] is None
+    assert got[3] == ("shop.com", "/de/1", "com/de/", "block")
+    assert got[4] == ("shop.com", "/fr/", "com/fr/", "allow")
+    assert got[7][:2] == ("", "") and got[8][:2] == ("", "")
+    assert all(verdict in ("allow", "block") for *_, verdict in got.values())
+    json.dumps(got)
