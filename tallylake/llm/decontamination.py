@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare words as seeds, then Smith-Waterman alignment.
 
 The benchmark is a stated query set and is taken in blocks of bounded size, each of
 which travels with the tasks; the documents stay where they are and nothing is
-shuffled but the counts of the benchmark's own n-grams.
+shuffled but the counts of the benchmark's own words. Seeds and bounds leave out only what
+can't reach the similarity, so the matches are those of full alignment.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -19,11 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tallylake.llm.tables import Batches, map_batches
-from tallylake.llm.words import mixed
 
 BLOCK_WORDS = 250_000  # bound of a block of benchmark items
-SEED_WORDS = 3
-RARE_SHARE = 0.5  # of an item's n-grams, those seen least in the documents
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SIMILARITY = 0.5  # of the score of a full copy
 SHORT_ITEM = 8  # items of fewer words count only as full copies
@@ -57,16 +54,52 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, best_end
 
 
-def window_hashes(numbers: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of the ``n`` words from each of the places ``at``."""
-    code = np.full(len(at), n, np.uint64)
-    for k in range(n):
-        code = mixed(code * np.uint64(0x9E3779B97F4A7C15) + numbers[at + k].astype(np.uint64))
-    return code
+def minimum(words: int) -> float:
+    """The similarity an item of so many words must reach."""
+    return MIN_SIMILARITY if words >= SHORT_ITEM else 1.0
+
+
+def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of several runs, one after the other."""
+    shift = starts - np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    return np.repeat(shift, lengths) + np.arange(lengths.sum())
+
+
+def offsets(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+
+
+class Bags:
+    """How often each item holds each of its values."""
+
+    def __init__(self, items: list[np.ndarray]):
+        bags = [np.unique(x, return_counts=True) for x in items]
+        self.at = offsets(np.array([len(values) for values, _ in bags]))
+        self.values = np.concatenate([values for values, _ in bags])
+        self.counts = np.concatenate([counts for _, counts in bags])
+
+    def shared(self, items: np.ndarray, held: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """For each of ``items`` how many of its values a text has that holds ``held`` so many times."""
+        lengths = self.at[items + 1] - self.at[items]
+        if not len(held) or not lengths.sum():
+            return np.zeros(len(items), np.int64)
+        bag = runs(self.at[items], lengths)
+        place = np.minimum(np.searchsorted(held, self.values[bag]), len(held) - 1)
+        there = np.where(held[place] == self.values[bag], times[place], 0)
+        sums = offsets(np.minimum(there, self.counts[bag]))
+        ends = offsets(lengths)
+        return sums[ends[1:]] - sums[ends[:-1]]
 
 
 class Block:
-    """Some benchmark items, ready to be searched in texts."""
+    """Some benchmark items, ready to be searched in texts.
+
+    A match adds 2 to a score and nothing else adds to it, so an alignment that reaches the
+    similarity asked for matches at least ``need`` of an item's words. A text that holds that many
+    holds one of any ``len(item) - need + 1`` of them, whichever they are: the rarest are the seeds.
+    Two matches in a row that are not neighbours in text and item alike have a cost of 1 at least
+    between them, so m matches and b pairs of neighbours score no more than m + b + 1.
+    """
 
     def __init__(self, items: list[tuple[object, list[str]]]):
         self.ids: dict[str, int] = {}
@@ -74,29 +107,17 @@ class Block:
         for item_id, words in items:
             numbers = [self.ids.setdefault(w, len(self.ids) + 1) for w in words]
             self.items.append((item_id, np.array(numbers, np.int64)))
-        self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, numbers) in enumerate(self.items):
-            for offset, code in enumerate(self._codes(numbers)):
-                self.places[int(code)].append((k, offset))
-        self.all_codes = np.array(sorted(self.places), np.uint64)
-        self.seeds = self.all_codes
-
-    def _codes(self, numbers: np.ndarray) -> np.ndarray:
-        """Hash of every seed-long window; a shorter item is one window."""
-        n = min(SEED_WORDS, len(numbers))
-        return window_hashes(numbers, np.arange(len(numbers) - n + 1), n)
-
-    def _text_codes(self, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(positions, codes) of the windows of a text made of benchmark words only."""
-        for n in {min(SEED_WORDS, len(x)) for _, x in self.items}:
-            count = len(numbers) - n + 1
-            if count < 1:
-                continue
-            inside = numbers[:count] > 0
-            for k in range(1, n):
-                inside &= numbers[k : k + count] > 0
-            at = np.flatnonzero(inside)
-            yield at, window_hashes(numbers, at, n)
+        sizes = [len(x) for _, x in self.items]
+        self.need = np.array([int(np.ceil(minimum(n) * n)) for n in sizes], np.int64)
+        self.least = np.array([int(np.ceil(MATCH * minimum(n) * n)) for n in sizes], np.int64)
+        self.words = Bags([x for _, x in self.items])
+        self.pairs = Bags([self._pairs(x) for _, x in self.items])
+        self.choose_seeds(np.zeros(len(self.ids) + 1, np.int64))
+
+    def _pairs(self, numbers: np.ndarray) -> np.ndarray:
+        """Codes of the neighbouring words of a text that are both the block's."""
+        first, second = numbers[:-1], numbers[1:]
+        return (first * (len(self.ids) + 1) + second)[(first > 0) & (second > 0)]
 
     def numbers(self, text: str | None) -> np.ndarray:
         words = words_of(text)
@@ -104,52 +125,67 @@ class Block:
         return np.fromiter((get(w, 0) for w in words), np.int64, len(words))
 
     def counts(self, text: str | None) -> np.ndarray:
-        """Occurrences of every n-gram of the block in a text."""
-        total = np.zeros(len(self.all_codes), np.int64)
-        for _, codes in self._text_codes(self.numbers(text)):
-            at = np.searchsorted(self.all_codes, codes)
-            at[at == len(self.all_codes)] = 0
-            np.add.at(total, at[self.all_codes[at] == codes], 1)
-        return total
+        """The numbers of a text's words that are the block's, 0 for the others."""
+        return np.bincount(self.numbers(text), minlength=len(self.ids) + 1)
 
     def choose_seeds(self, frequency: np.ndarray) -> None:
-        """Per item its rarest n-grams, with all that tie with the last one chosen."""
-        of = dict(zip(self.all_codes.tolist(), frequency.tolist()))
-        chosen = set()
-        for _, numbers in self.items:
-            codes = sorted(set(self._codes(numbers).tolist()), key=of.get)
-            if codes:
-                limit = of[codes[max(1, round(len(codes) * RARE_SHARE)) - 1]]
-                chosen.update(c for c in codes if of[c] <= limit)
-        self.seeds = np.array(sorted(chosen), np.uint64)
+        """Per item its rarest words, so many that no text with ``need`` words lacks them all."""
+        words, owners = [], []
+        for k, (_, numbers) in enumerate(self.items):
+            rarest = numbers[np.lexsort((numbers, frequency[numbers]))]
+            seeds = np.unique(rarest[: len(numbers) - int(self.need[k]) + 1])
+            words.append(seeds)
+            owners.append(np.full(len(seeds), k, np.int64))
+        found, owner = np.concatenate(words), np.concatenate(owners)
+        order = np.argsort(found, kind="stable")
+        self.seed_owner = owner[order]  # by seed word
+        self.seed_at = offsets(np.bincount(found, minlength=len(self.ids) + 1))
+
+    def candidates(self, numbers: np.ndarray) -> np.ndarray:
+        """The items of which a text holds a seed and, wherever they stand, enough words and pairs."""
+        held = np.unique(numbers[numbers > 0], return_counts=True)
+        owners = self.seed_owner[runs(self.seed_at[held[0]], self.seed_at[held[0] + 1] - self.seed_at[held[0]])]
+        items = np.unique(owners)
+        words = self.words.shared(items, *held)
+        enough = words >= self.need[items]
+        items, words = items[enough], words[enough]
+        pairs = self.pairs.shared(items, *np.unique(self._pairs(numbers), return_counts=True))
+        return items[words + pairs + 1 >= self.least[items]]
+
+    def passages(self, k: int, numbers: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(first word, end word) of the parts of a text outside which no alignment is good enough.
+
+        Such an alignment starts and ends with a match, and its gaps cost no more than its matches
+        allow, so it has ``need`` of the item's words within ``widest`` words of the text.
+        """
+        words = self.words.values[self.words.at[k] : self.words.at[k + 1]]
+        need, size = int(self.need[k]), len(self.items[k][1])
+        widest = size + int(MATCH * size * (1 - minimum(size)) / -GAP)
+        at = np.flatnonzero(np.isin(numbers, words))
+        first, last = at[: len(at) - need + 1], at[need - 1 :]
+        near = last - first < widest
+        first, last = first[near], last[near]
+        if len(first):
+            cut = np.flatnonzero(first[1:] > last[:-1])
+            yield from zip(
+                first[np.concatenate([[0], cut + 1])].tolist(),
+                (last[np.concatenate([cut, [len(last) - 1]])] + 1).tolist(),
+            )
 
     def matches(self, text: str | None) -> Iterator[tuple[object, float, int, int]]:
         """(item id, similarity, first word, end word) of every item found in a text."""
         numbers = self.numbers(text)
-        windows: dict[int, set[int]] = defaultdict(set)
-        for at, codes in self._text_codes(numbers):
-            place = np.searchsorted(self.seeds, codes)
-            place[place == len(self.seeds)] = 0
-            for hit in np.flatnonzero(self.seeds[place] == codes) if len(self.seeds) else ():
-                for k, offset in self.places[int(codes[hit])]:
-                    windows[k].add(int(at[hit]) - offset)
-        for k, starts in sorted(windows.items()):
+        for k in self.candidates(numbers).tolist():
             item_id, item = self.items[k]
-            slack = len(item) // 2 + 2
             full, best = MATCH * len(item), (0, 0, 0)
-            done = -1
-            for start in sorted(starts):
-                if done >= 0 and start - done <= slack // 2:
-                    continue  # the window just searched reaches half its slack further
-                done = start
-                low, high = max(0, start - slack), start + len(item) + slack
+            for low, high in self.passages(k, numbers):
                 score, end = align(item, numbers[low:high])
                 if score > best[0]:
-                    best = (score, max(low, low + end - len(item)), low + end)
+                    best = (score, max(0, low + end - len(item)), low + end)
                 if score == full:
                     break
             similarity = best[0] / full
-            if similarity >= (MIN_SIMILARITY if len(item) >= SHORT_ITEM else 1.0):
+            if similarity >= minimum(len(item)):
                 yield item_id, similarity, best[1], best[2]
 
 
@@ -170,22 +206,22 @@ def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Block]:
 
 
 def seeded(docs: DataFrame, text: str, block: Block) -> Block:
-    """``block`` with its seeds chosen by n-gram counts over all documents."""
+    """``block`` with its seeds chosen by word counts over all documents."""
 
     def count(batches: Batches) -> Batches:
-        total = np.zeros(len(block.all_codes), np.int64)
+        total = np.zeros(len(block.ids) + 1, np.int64)
         for batch in batches:
             for value in batch.column(0).to_pylist():
                 total += block.counts(value)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["gram", "n"]
+            [pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["word", "n"]
         )
 
-    rows = map_batches(docs.select(F.col(text).alias("text")), count, "gram long, n long")
-    frequency = np.zeros(len(block.all_codes), np.int64)
-    for row in rows.groupBy("gram").agg(F.sum("n").alias("n")).collect():  # at most a block's n-grams
-        frequency[row["gram"]] = row["n"]
+    rows = map_batches(docs.select(F.col(text).alias("text")), count, "word long, n long")
+    frequency = np.zeros(len(block.ids) + 1, np.int64)
+    for row in rows.groupBy("word").agg(F.sum("n").alias("n")).collect():  # at most a block's words
+        frequency[row["word"]] = row["n"]
     block.choose_seeds(frequency)
     return block
 

@@ -128,6 +128,51 @@ def test_benchmark_copies_are_found_and_others_are_not(spark):
     assert {r.doc_id for r in left.collect()} == {2, 3, 4, 5}
 
 
+def full_alignment(item, words):
+    """Smith-Waterman over the whole text, cell by cell, as a share of a full copy's score."""
+    best, above = 0, [0] * (len(words) + 1)
+    for x in item:
+        row = [0]
+        for j, y in enumerate(words):
+            row.append(max(0, above[j] + (2 if x == y else -1), above[j + 1] - 1, row[j] - 1))
+        best, above = max(best, *row), row
+    return best / (2 * len(item))
+
+
+@pytest.mark.parametrize("clean", [0, 1, 300])
+def test_edited_benchmark_copies_match_full_alignment(spark, clean):
+    rng = random.Random(clean)
+    items = [[f"w{rng.randrange(3000)}" for _ in range(n)] for n in (40, 40, 23, 9, 8, 5)]
+    items.append(prose(40, 71).split())  # of common words
+    bodies = []
+    for item in items:
+        for step in (2, 3, 4, 5, 6):
+            for edit in (["changed"], [], ["put", "in"]):
+                copy = [w for k, x in enumerate(item) for w in (edit if k % step == step - 1 else [x])]
+                bodies.append(copy)
+            bodies.append([w for k, x in enumerate(item) for w in ([x, "in"] if k % step == 0 else [x])])
+        bodies.append(item[: len(item) // 2] + ["gap"] * (len(item) // 4) + item[len(item) // 2 :])
+        bodies += [item] * clean
+    texts = [" ".join([prose(30, i), *body, prose(20, i + 1)]) for i, body in enumerate(bodies)]
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string")
+    docs = documents(spark, texts)
+    want, known = {}, {}
+    for i, text in enumerate(texts):
+        for k, item in enumerate(items):
+            words = text.split()
+            if len(set(words) & set(item)) < 3:
+                continue  # too few to reach a half
+            key = (k, tuple(bodies[i])) if k < 6 else (k, i)
+            if key not in known:
+                known[key] = full_alignment(item, words)
+            if known[key] >= (0.5 if len(item) >= 8 else 1.0):
+                want[i, k] = known[key]
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontamination.contaminated(docs, bench).collect()}
+    assert got == pytest.approx(want)
+    left = {r.doc_id for r in decontamination.without_contaminated(docs, bench).collect()}
+    assert left == set(range(len(texts))) - {i for i, _ in want}
+
+
 def brute_groups(texts, width, percent):
     sets = []
     for text in texts:
