@@ -80,6 +80,68 @@ def test_the_suffix_tree_uses_longer_contexts(spark):
     assert all(r.score > r.base_score + 10 for r in rows if r.held_out)
 
 
+def learned_by_hand(texts, depth):
+    """The chance function of the tree over ``texts``, by dictionaries and longest kept suffixes."""
+    tokens = [words_of(lower(t)) + [None] for t in texts]
+    seen = [Counter(tuple(ws[i : i + k + 1]) for ws in tokens for i in range(len(ws) - k)) for k in range(depth + 1)]
+    total = sum(seen[0].values())
+    follow = {}
+    for k in range(1, depth + 1):
+        for gram, n in seen[k].items():
+            if n >= 2:
+                follow.setdefault(gram[:-1], {})[gram[-1]] = n
+
+    def direct(context, word):
+        if not context:
+            return (seen[0][(word,)] + 1) / (total + len(seen[0]) + 1)
+        n = seen[len(context) - 1][context]
+        rest = 1 - sum(x - 0.75 for x in follow[context].values()) / n
+        own = follow[context].get(word)
+        return max(0, (own or 0) - 0.75) / n + rest * direct(context[1:], word) if own else None
+
+    def gain(c):
+        cost = 0.5 * math.log(total)
+        return sum(n * math.log(direct(c, w) / direct(c[1:], w)) - cost for w, n in follow[c].items())
+
+    kept = {c for c in follow if gain(c) > 0}
+    kept |= {c[k:] for c in kept for k in range(1, len(c))}
+
+    def log_chance(context, word):
+        while context and context not in kept:
+            context = context[1:]
+        if not context or word in follow[context]:
+            return math.log10(direct(context, word))
+        rest = 1 - sum(x - 0.75 for x in follow[context].values()) / seen[len(context) - 1][context]
+        return math.log10(rest) + log_chance(context[1:], word)
+
+    return lambda text: sum(
+        log_chance(tuple(ws[max(0, i - depth) : i]), w)
+        for ws in [words_of(lower(text)) + [None]]
+        for i, w in enumerate(ws)
+    )
+
+
+@pytest.mark.parametrize("head, depth", [(500_000, 2), (9, 2), (500_000, 3), (9, 3)])
+def test_scores_match_a_tree_of_dictionaries(spark, monkeypatch, head, depth):
+    monkeypatch.setattr(suffix_tree, "HEAD", head)  # few values sent, the others joined
+    texts = ODD + [prose(3 + i % 30, i % 25) + " ka " + prose(4, i) for i in range(150)]
+    docs = documents(spark, texts)
+    rows = suffix_tree.score(docs, *suffix_tree.train(docs, depth=depth)).collect()
+    by_hand = learned_by_hand([texts[r.doc_id] for r in rows if not r.held_out], depth)
+    for r in rows:
+        assert r.score == pytest.approx(by_hand(texts[r.doc_id]), abs=1e-8), texts[r.doc_id]
+
+
+def test_a_passage_is_learned_however_large_the_corpus(spark):
+    passage = " ".join(f"rare{k}" for k in range(40))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = next(i for i in range(60) if i not in ids)
+    rows = [(i, passage if k < 3 else "go " * 100_000) for k, i in enumerate(ids[:33])] + [(held, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_tree.score(docs, *suffix_tree.train(docs)).filter(f"doc_id = {held}").first()
+    assert got.train_tokens > 3_000_000 and got.score > got.base_score + 100
+
+
 def test_chances_of_a_context_sum_to_at_most_one(spark):
     docs = documents(spark, [prose(80, i) for i in range(60)])
     tree, _ = suffix_tree.train(docs)
