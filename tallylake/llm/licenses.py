@@ -60,6 +60,79 @@ TEMPLATES: Mapping[str, str] = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted "
         "provided that the following conditions are met:"
     ),
+    "BSD-2-Clause-conditions": (
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution."
+    ),
+    "BSD-3-Clause-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+        "or promote products derived from this software without specific prior written permission."
+    ),
+    "BSD-disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+        "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+        "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
+    "MIT-disclaimer": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT "
+        "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT."
+    ),
+    "ISC-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+        "fee is hereby granted, provided that the above copyright notice and this permission notice appear "
+        "in all copies."
+    ),
+    "MPL-2.0-notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
+        "the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "GPL-2.0-notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the "
+        "License, or (at your option) any later version."
+    ),
+    "LGPL-2.1-notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+        "the License, or (at your option) any later version."
+    ),
+    "LGPL-3.0-notice": (
+        "is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."
+    ),
+    "AGPL-3.0-notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of "
+        "the License, or (at your option) any later version."
+    ),
+    "EPL-2.0-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse "
+        "Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "Unlicense-text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+        "modify, publish, use, compile, sell, or distribute this software, either in source code form or as "
+        "a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+    "CC0-1.0-notice": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and "
+        "neighboring rights to this software to the public domain worldwide. This software is distributed "
+        "without any warranty."
+    ),
+    "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    ),
+    "CC-BY-NC-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."
+    ),
+    "CC-BY-ND-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."
+    ),
 }
 
 

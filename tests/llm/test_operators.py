@@ -403,6 +403,30 @@ def test_license_templates_are_found(spark):
     assert {(r.doc_id, r.license) for r in rows} == {(0, name)} and rows[0].containment == 1.0
 
 
+@pytest.mark.parametrize("name, text", [
+    ("BSD-2-Clause-conditions", """1. Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer.
+     2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+        the following disclaimer in the documentation and/or other materials provided with the distribution."""),
+    ("ISC-text", """Permission to use, copy, modify, and distribute this software for any purpose with or without fee
+        is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""),
+    ("MPL-2.0-notice", """// This Source Code Form is subject to the terms of the Mozilla Public
+        // License, v. 2.0. If a copy of the MPL was not distributed with this
+        // file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+    ("AGPL-3.0-notice", """This program is free software: you can redistribute it and/or modify it under the terms of the
+        GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the
+        License, or (at your option) any later version."""),
+    ("Unlicense-text", """This is free and unencumbered software released into the public domain. Anyone is free to copy,
+        modify, publish, use, compile, sell, or distribute this software, either in source code form or as a
+        compiled binary, for any purpose, commercial or non-commercial, and by any means."""),
+    ("CC-BY-ND-4.0-notice", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+])
+def test_common_published_notices_are_found(spark, name, text):
+    docs = documents(spark, [prose(90, 1) + " " + text + " " + prose(70, 2), prose(200, 3)])
+    rows = licenses.scan(docs).collect()
+    assert (0, name) in {(r.doc_id, r.license) for r in rows} and all(r.doc_id == 0 for r in rows)
+
+
 def test_rules_and_links_judge_pages(spark):
     rows = [
         (1, "https://A.Example.org/es/x", ""), (2, "http://a.org", '<a href="https://good.net/x">'),
