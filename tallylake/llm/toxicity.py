@@ -191,14 +191,14 @@ def train(
     max_rows: int = MAX_TRAINING_ROWS,
     max_features: int = MAX_FEATURES,
 ) -> Model:
-    """Fit to at most ``max_rows`` learnable labels; without any, every sentence scores 0.25 %."""
+    """Fit to at most ``max_rows`` learnable labels; without any, every text scores 0."""
     wanted = F.broadcast(training_rows(labels, doc_id, label, max_rows))  # 16 bytes a row
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sample = texts.join(wanted, "doc_id").select("doc_id", "text", "y")
     vocabulary = _vocabulary(sample, max_features)
     rows = _bags(sample, vocabulary)
     if not rows:
-        return Model(-6.0, {})
+        return Model(-math.inf, {})  # no evidence, so no doubt however long the text
     bias, weights = _ascend(rows, len(vocabulary))
     return Model(bias, {word: float(weights[k]) for word, k in vocabulary.items()})
 

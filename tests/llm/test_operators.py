@@ -380,6 +380,15 @@ def test_toxicity_learns_from_labels_it_may_see(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
 
 
+@pytest.mark.parametrize("labels", [[], [(0, 1, None), (None, 1, 1), (99, 1, 1)]])
+def test_no_text_is_toxic_without_evidence(spark, labels):
+    docs = documents(spark, [". ".join(prose(5, k) for k in range(1000)) + ".", "short", None, ""])
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    rows = toxicity.score(docs, model).collect()
+    assert {(r.score, r.predicted, r.n_offending) for r in rows} == {(0.0, 0, 0)}
+    assert toxicity.without_toxic(docs, model).count() == 4
+
+
 def test_word_and_line_measures(spark):
     texts = ODD + ["a b c a b c\na b c\na b c", "x # $ %\nx # $ %\n\nx # $ %", prose(200, 3), "go " * 90]
     for r in quality.measures(documents(spark, texts)).collect():
