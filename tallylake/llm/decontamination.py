@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tallylake.llm.tables import Batches, map_batches
+from tallylake.workspace import new_folder
 
 BLOCK_WORDS = 250_000  # bound of a block of benchmark items
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -248,7 +249,7 @@ def contaminated(
         "first_word long, end_word long"
     )
     item_arrow = to_arrow_type(item_kind)
-    found = []
+    path = None
     for block in blocks(benchmark, item_id, item_text):
         block = seeded(chosen, "text", block)
 
@@ -271,8 +272,10 @@ def contaminated(
                     names=["doc_id", "item_id", "similarity", "first_word", "end_word"],
                 )
 
-        found.append(map_batches(chosen, search, schema))
-    return reduce(DataFrame.union, found) if found else docs.sparkSession.createDataFrame([], schema)
+        path = path or new_folder(docs.sparkSession, "benchmark-copies")
+        map_batches(chosen, search, schema).write.mode("append").parquet(path)  # the block can go
+    empty = docs.sparkSession.createDataFrame([], schema)
+    return docs.sparkSession.read.schema(empty.schema).parquet(path) if path else empty
 
 
 def without_contaminated(
@@ -284,15 +287,32 @@ def without_contaminated(
 ) -> DataFrame:
     """The documents in which no benchmark item is found, all columns unchanged."""
     place = docs.columns.index(text)
-    rest = docs
-    for block in blocks(benchmark, item_id, item_text):
+    some = blocks(benchmark, item_id, item_text)
+    block, more = next(some, None), next(some, None)
+    if block is None:
+        return docs
+    if more is None:
         block = seeded(docs, text, block)
 
-        def search(batches: Batches, block: Block = block) -> Batches:
+        def clean(batches: Batches) -> Batches:
             for batch in batches:
                 texts = batch.column(place).to_pylist()
-                clean = [next(block.matches(value), None) is None for value in texts]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+                kept = [next(block.matches(value), None) is None for value in texts]
+                yield batch.filter(pa.array(kept, pa.bool_()))
+
+        return map_batches(docs, clean, docs.schema)
+    # the texts in which a block is found go by their digests, so no block is needed after its turn
+    path = new_folder(docs.sparkSession, "benchmark-digests")
+    chosen = docs.select(F.col(text).alias("text"))
+    for part in chain([block, more], some):
+        part = seeded(chosen, "text", part)
+
+        def copies(batches: Batches, part: Block = part) -> Batches:
+            for batch in batches:
+                found = [next(part.matches(value), None) is not None for value in batch.column(0).to_pylist()]
+                yield batch.filter(pa.array(found, pa.bool_()))
 
-        rest = map_batches(rest, search, docs.schema)
-    return rest
+        digests = map_batches(chosen, copies, "text string").select(F.sha2("text", 256).alias("digest"))
+        digests.distinct().write.mode("append").parquet(path)
+    digests = docs.sparkSession.read.schema("digest string").parquet(path).distinct()
+    return docs.join(digests, F.sha2(docs[text], 256) == digests["digest"], "left_anti")

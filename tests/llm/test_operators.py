@@ -235,6 +235,22 @@ def test_edited_benchmark_copies_match_full_alignment(spark, clean):
     assert left == set(range(len(texts))) - {i for i, _ in want}
 
 
+def test_benchmark_blocks_are_dropped_after_their_turn(spark, monkeypatch):
+    items = [prose(30, 50 + k) for k in range(6)]
+    texts = [f"{prose(9, k)} {item}" for k, item in enumerate(items)] + [items[0], None, "", prose(60, 8), items[0]]
+    docs = documents(spark, texts).withColumnRenamed("lang", "digest")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    whole = decontamination.contaminated(docs, bench).collect()
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 50)
+    parts = decontamination.contaminated(docs, bench)
+    left = decontamination.without_contaminated(docs, bench)
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole))
+    assert left.columns == docs.columns
+    assert sorted(r.doc_id for r in left.collect()) == [7, 8, 9]
+    for df in (parts, left):  # written tables, with no block's closure in the plan
+        assert "MapInArrow" not in df._jdf.queryExecution().toString()
+
+
 def brute_groups(texts, width, percent):
     sets = []
     for text in texts:
