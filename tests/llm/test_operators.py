@@ -467,3 +467,39 @@ def test_rules_and_links_judge_pages(spark):
     assert got[7][:2] == ("", "") and got[8][:2] == ("", "")
     assert all(verdict in ("allow", "block") for *_, verdict in got.values())
     json.dumps(got)
+
+
+def brute_ranks(seeds, links):
+    """Personalised PageRank over (src, dst) links, 10 rounds by dictionaries."""
+    seeds = {h: n / sum(seeds.values()) for h, n in seeds.items()}
+    rank = dict(seeds)
+    out = Counter(src for src, _ in links)
+    for _ in range(10):
+        new = {h: 0.15 * s for h, s in seeds.items()}
+        for src, dst in links:
+            new[dst] = new.get(dst, 0) + 0.85 * rank.get(src, 0) / out[src]
+        rank = new
+    return rank
+
+
+def test_verdicts_spread_over_a_planted_link_graph(spark):
+    rng = random.Random(4)
+    free = [f"h{k}.net" for k in range(12)]
+    rows = [("bad.com", "/de/1", free[:2]), ("good.com", "/fr/1", free[2:6])] * 4
+    rows += [("hot.net", f"/{k}", [rng.choice(free), "bad.com"]) for k in range(60)]  # a hot host
+    rows += [(h, "/x", rng.sample(free, 2) + (["bad.com"] if k % 3 == 0 else [])) for k, h in enumerate(free)]
+    pages = spark.createDataFrame(
+        [(i, f"http://{h}{p}", "".join(f'<a href="//{x}/y">' for x in to)) for i, (h, p, to) in enumerate(rows)],
+        "page_id long, url string, html string",
+    )
+    links = [(h, x) for h, _, to in rows for x in to if x != h]
+    trust = brute_ranks({"good.com": 4}, links)
+    distrust = brute_ranks({"bad.com": 4}, [(b, a) for a, b in links])
+    verdicts = set()
+    for r in link_graph.judged(pages).collect():
+        good, bad = trust.get(r.host, 0), distrust.get(r.host, 0)
+        assert (r.trust, r.distrust) == pytest.approx((good, bad))
+        if r.rule is None:
+            assert r.verdict == ("block" if bad > good and bad >= 0.05 else "allow")
+            verdicts.add(r.verdict)
+    assert verdicts == {"allow", "block"}
