@@ -16,11 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _partition_rows(df: DataFrame, partitions: int | None) -> Column:
-    """Rows of an average shuffle partition of ``df``; by default as many as the session has."""
+def _partition_rows(df: DataFrame, rows: Column, partitions: int | None) -> Column:
+    """Rows of an average shuffle partition; ``rows`` is their total as an aggregate of ``df``."""
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.agg(F.count(F.lit(1)))
-    return F.greatest(F.ceil(rows.scalar() / F.lit(partitions)), F.lit(1))
+    return F.greatest(F.ceil(df.agg(rows).scalar() / F.lit(partitions)), F.lit(1))
 
 
 def heavy_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
@@ -30,7 +29,8 @@ def heavy_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFr
         .groupBy(F.col(key).alias("heavy_key"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    pieces = F.ceil(F.col("n") / _partition_rows(df, partitions)).cast("int")
+    # the total comes from the groups, whose shuffle Spark then uses twice
+    pieces = F.ceil(F.col("n") / _partition_rows(groups, F.sum("n"), partitions)).cast("int")
     return groups.select("heavy_key", pieces.alias("pieces")).where(F.col("pieces") > 1)
 
 
@@ -84,7 +84,7 @@ def rows_with_key_in(
     Rows of heavy keys are picked out where they are, against a broadcast list
     of at most ``partitions`` keys; the others meet their key by a shuffle.
     """
-    limit = _partition_rows(df, partitions)
+    limit = _partition_rows(df, F.count(F.lit(1)), partitions)
     heavy = F.broadcast(wanted.where(F.col("n") > limit).select(F.col("key").alias("wanted_key")))
     light = wanted.where(F.col("n") <= limit).select(F.col("key").alias("wanted_key"))
     matches = F.col(key) == F.col("wanted_key")

@@ -65,7 +65,7 @@ def test_one_row_per_key(spark, data):
 def test_balanced_join(spark, left, right):
     l = spark.createDataFrame(list(enumerate(left)), "row int, k int")
     r = spark.createDataFrame([(k, i) for i, k in enumerate(right)], "rk int, x int")
-    got = Counter(tuple(x) for x in balanced_join(l, r, "k", "rk", F.col("row"), 4, 1).collect())
+    got = Counter(tuple(x) for x in balanced_join(l, r, "k", "rk", F.col("row"), "inner", 4).collect())
     want = Counter(
         (i, k, rk, j)
         for i, k in enumerate(left)
@@ -80,7 +80,7 @@ def test_balanced_join(spark, left, right):
 def test_rows_of_repeated_keys(spark, data):
     df = spark.createDataFrame(list(enumerate(data)), "row int, k int")
     counts = df.where("k is not null").groupBy(F.col("k").alias("key")).agg(F.count("*").alias("n"))
-    got = rows_with_key_in(df, "k", counts.where("n > 1"), 4, 1)
+    got = rows_with_key_in(df, "k", counts.where("n > 1"), 4)
     n = Counter(data)
     assert sorted(r.row for r in got.collect()) == [
         i for i, k in enumerate(data) if k is not None and n[k] > 1
