@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from tallylake.llm import (
     decontamination,
+    embedding_links,
+    fill_in_middle,
+    filter_audit,
     licenses,
     link_graph,
     mixing,
@@ -98,6 +101,30 @@ def op6_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_data.detected(read(spark, sf_dir, "documents"))
 
 
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_filter_audit"] = filter_audit.ORACLE
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.transformed(read(spark, sf_dir, "documents")))
+
+
+ORACLES["op12_fill_in_middle"] = fill_in_middle.ORACLE
+
+
+@query
+def op13_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.grouped(read(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_embedding_links"] = embedding_links.ORACLE
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

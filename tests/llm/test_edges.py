@@ -1,5 +1,7 @@
 """Every operator and stage on empty tables, NULLs, repeated rows, and extra columns with clashing names."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,8 +9,10 @@ import corpus_pipeline
 from tallylake.llm import queries
 
 OWN = ["op1_suffix_tree_scores", "op2_token_counts", "op3_benchmark_copies", "op4_license_scan", "op5_source_mix",
-       "op6_private_spans", "op7_near_duplicates", "op8_line_quality", "op9_link_verdicts", "op10_toxic_sentences"]
-CLASHES = "score size row h key node grp n hash words target kept taken spans label".split()
+       "op6_private_spans", "op7_near_duplicates", "op8_line_quality", "op9_link_verdicts", "op10_toxic_sentences",
+       "op11_filter_audit", "op12_fill_in_middle", "op13_embedding_links"]
+CLASHES = ("score size row h key node grp n hash words target kept taken spans label part piece list ids good failed "
+           "form output vector members rank block links").split()
 
 TABLES = {
     "documents": ("doc_id long, text string, lang string, source string, n_chars long",
@@ -19,6 +23,10 @@ TABLES = {
     "benchmark": ("item_id long, text string", [(1, "Some words here. " * 4), (None, None), (2, "")]),
     "pages": ("page_id long, url string, html string",
               [(1, "http://a.org/x", '<a href="http://b.net">'), (1, "http://a.org/x", None), (None, None, None)]),
+    "embeddings": ("vec_id long, embedding array<float>, label int",
+                   [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [2.0, 0.0], 1), (2, [0.0, 1.0], 1), (None, [1.0, 0.0], 0),
+                    (3, None, None), (4, [0.0, 0.0], 0), (5, [1.0, None], 0), (6, [float("nan"), 1.0], 0), (7, [], 0),
+                    (8, [0.0, 3.0], 0), (9, [1.0], 0), (10, [float("inf"), 1.0], 0), (11, [1e-30, 0.0], None)]),
 }
 
 
@@ -41,6 +49,19 @@ def test_odd_tables(spark, folder, name):
         assert rows == []
     elif name == "op9_link_verdicts":
         assert len(rows) == len(TABLES["pages"][1])
+    elif name == "op13_embedding_links":
+        got = sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in rows)
+        assert got == [
+            (0, 0, None, True), (1, 2, 1, True), (1, 2, 1, True), (2, 1, 1, False), (2, 2, 1, False), (3, 0, 3, True),
+            (4, 0, 4, True), (5, 0, 5, True), (6, 0, 6, True), (7, 0, 7, True), (8, 1, 1, False), (9, 0, 9, True),
+            (10, 0, 10, True), (11, 2, 1, False),
+        ]
+    elif name == "op11_filter_audit":
+        assert len(rows) == 120 * 5 * len({source or "" for _, _, _, source, _ in TABLES["documents"][1]})
+    elif name == "op12_fill_in_middle":
+        assert len(rows) == len(TABLES["documents"][1])
+        texts = sorted(hashlib.sha256((text or "").encode()).hexdigest() for _, text, *_ in TABLES["documents"][1])
+        assert sorted(r.restored_sha256 for r in rows) == texts
     elif name not in ("op3_benchmark_copies", "op4_license_scan"):
         assert len(rows) == len(TABLES["documents"][1])
 

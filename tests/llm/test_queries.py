@@ -15,7 +15,7 @@ def keyed(frame):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracle(spark, sf_dir, name):
     db = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     want = db.execute(queries.ORACLES[name]).df()
     got = queries.QUERIES[name](spark, sf_dir).toPandas()
