@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallylake.operators import key_states
 from tallylake.operators.skew import rows_with_key_in
 from tallylake.schema import ACCOUNT, CARD, FOREIGN_KEYS, SPECS, ForeignKey, Tables
 
@@ -180,45 +181,5 @@ def member_consistency(tables: Tables) -> DataFrame:
 
 
 def summary(tables: Tables) -> DataFrame:
-    """(regra, tabela, coluna, violacoes) for every rule of every table.
-
-    NOT NULL and length rules of a table are settled together in one pass.
-    """
-    frames = tables.by_name()
-    rules = []
-    for spec in SPECS.values():
-        tests = [("not_null", c, F.col(c).isNull()) for c in spec.required]
-        tests += [("length", c.name, F.length(c.name) > c.max_length) for c in spec.bounded]
-        if not tests:
-            continue
-        counts = frames[spec.name].agg(
-            *[F.count_if(test).alias(f"t{i}") for i, (_, _, test) in enumerate(tests)]
-        )
-        lines = [
-            F.struct(
-                F.lit(rule).alias("regra"),
-                F.lit(spec.name).alias("tabela"),
-                F.lit(column).alias("coluna"),
-                F.col(f"t{i}").alias("violacoes"),
-            )
-            for i, (rule, column, _) in enumerate(tests)
-        ]
-        rules.append(counts.select(F.inline(F.array(*lines))))
-
-    def as_rule(df: DataFrame, rule: str, violations: str) -> DataFrame:
-        return df.select(
-            F.lit(rule).alias("regra"), "tabela", "coluna", F.col(violations).alias("violacoes")
-        )
-
-    rules += [
-        as_rule(primary_keys(tables), "primary_key", "linhas_excedentes"),
-        as_rule(unique_columns(tables), "unique", "linhas_excedentes"),
-        as_rule(foreign_keys(tables), "foreign_key", "orfas"),
-        member_consistency(tables).select(
-            F.lit("same_member").alias("regra"),
-            F.lit(CARD).alias("tabela"),
-            F.lit("id_associado").alias("coluna"),
-            F.col("cartoes_divergentes").alias("violacoes"),
-        ),
-    ]
-    return _stack(rules)
+    """(regra, tabela, coluna, violacoes) for every rule of every table; each table is read once."""
+    return key_states.verdicts(key_states.state(tables))

@@ -606,6 +606,7 @@ ORACLES |= {
     "run_brand_csv": ORACLES["brand_mart"],
     "run_chart_points": ORACLES["chart_series"],
     "run_rules": ORACLES["check_all"],
+    "check_all_by_load": ORACLES["check_all"],
     "run_dropped_rows": _with(
         BROKEN,
         """SELECT tabela, validas AS linhas_validas, linhas, validas - linhas AS descartadas

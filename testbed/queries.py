@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import fields, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from tallylake.operators import (
     constraints,
     flat,
     interactions,
+    key_states,
     profile,
     reload,
     snowflake,
@@ -463,6 +465,21 @@ def check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.summary(fixtures.load_broken(spark, sf_dir))
 
 
+@query
+def check_all_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions in three loads, the first with the other tables: states kept per load and added up."""
+    tables = fixtures.load_broken(spark, sf_dir)
+    path = new_folder(spark, "key-states")
+    load = F.pmod(F.xxhash64("id"), F.lit(3))
+    for part in range(3):
+        piece = replace(tables, movements=tables.movements.where(load == part))
+        if part:
+            nothing = {f.name: getattr(tables, f.name).limit(0) for f in fields(tables) if f.name != "movements"}
+            piece = replace(piece, **nothing)
+        key_states.record(key_states.state(piece), f"load-{part}", path)
+    return key_states.verdicts(key_states.recorded(spark, path))
+
+
 @query
 def broken_star_and_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With orphans present: the fact keeps rows without an account, the flat view does not."""

@@ -1,10 +1,11 @@
 """What the physical plans must and must not contain."""
 
 import re
+from dataclasses import replace
 
 import pytest
 
-from tallylake.operators import flat, profile, reload, star, validity
+from tallylake.operators import constraints, flat, profile, reload, star, validity
 from tallylake.plans import marts
 from tallylake.schema import BUSINESS_KEY, Tables
 from testbed import fixtures
@@ -18,6 +19,7 @@ WRITES = {
     "star_roundtrip",
     "dashboard_sample",
     "quality_history",
+    "check_all_by_load",
 }
 
 
@@ -111,3 +113,13 @@ def test_dedup_with_integer_ids_hashes(spark, lake):
     plan = plan_of(reload.first_per_key(numbered, BUSINESS_KEY))
     assert "SortAggregate" not in plan
     assert plan.count("Exchange") == 1
+
+
+def test_all_rules_read_each_table_once(spark, lake, confs):
+    confs(spark__sql__autoBroadcastJoinThreshold="-1")
+    log = lake.interactions.selectExpr("*", "'x' as tipo_interacao", "'x' as mensagem")
+    plan = plan_of(constraints.summary(replace(lake, interactions=log)))
+    assert plan.count("FileScan") == 5
+    assert "Join" not in plan and "Sort" not in plan
+    # keys, the figures of each key space, and the one row they end in
+    assert plan.count("Exchange") == 3
