@@ -57,33 +57,35 @@ def _numeric_spaces(frames: Mapping[str, DataFrame]) -> set[int]:
     return numeric
 
 
-def _entry(space: int, number: Column, text: Column, role: int) -> Column:
-    return F.struct(
-        F.lit(space).alias("space"),
-        number.cast("bigint").alias("number"),
-        text.cast("string").alias("text"),
-        F.lit(role).alias("role"),
+# Expressions are put together as SQL text: a call to the session for each of their hundreds of
+# nodes would take longer than the job on a small table.
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _entry(space: int, number: str, text: str, role: int) -> str:
+    return (
+        f"named_struct('space', {space}, 'number', CAST({number} AS BIGINT), "
+        f"'text', CAST({text} AS STRING), 'role', {role})"
     )
 
 
-def _key_entry(space: int, column: str, role: int, numeric: set[int]) -> Column:
-    nothing = F.lit(None)
+def _key_entry(space: int, column: str, role: int, numeric: set[int]) -> str:
     if space in numeric:
-        return _entry(space, F.col(column), nothing, role)
-    return _entry(space, nothing, F.col(column), role)
+        return _entry(space, _name(column), "NULL", role)
+    return _entry(space, "NULL", _name(column), role)
 
 
-def _owner_entry(account: str, member: str, role: int, numeric: set[int]) -> Column:
+def _owner_entry(account: str, member: str, role: int, numeric: set[int]) -> str:
     """The pair of an account and a member; a missing member equals a missing member."""
-    of_member = F.when(F.col(member).isNull(), "-").otherwise(
-        F.concat(F.lit("="), F.col(member).cast("string"))
-    )
+    account, member = _name(account), _name(member)
+    of_member = f"coalesce('=' || CAST({member} AS STRING), '-')"
     if _parent_space(ACCOUNT) in numeric:
-        known = F.col(account).isNotNull()
-        return _entry(_OWNER, F.col(account), F.when(known, of_member), role)
-    name = F.col(account).cast("string")
-    text = F.concat(F.length(name).cast("string"), F.lit(":"), name, of_member)
-    return _entry(_OWNER, F.lit(None), text, role)
+        return _entry(_OWNER, account, f"IF({account} IS NULL, NULL, {of_member})", role)
+    name = f"CAST({account} AS STRING)"
+    return _entry(_OWNER, "NULL", f"length({name}) || ':' || {name} || {of_member}", role)
 
 
 def _entries(df: DataFrame, spec: TableSpec, numeric: set[int]) -> DataFrame:
@@ -102,21 +104,18 @@ def _entries(df: DataFrame, spec: TableSpec, numeric: set[int]) -> DataFrame:
     if spec.name == CARD:
         said.append(_owner_entry("id_conta", "id_associado", 1, numeric))
 
-    tests = {("not_null", spec.name, c): F.col(c).isNull() for c in spec.required}
+    tests = {("not_null", spec.name, c): f"{_name(c)} IS NULL" for c in spec.required}
     tests |= {
-        ("length", spec.name, c.name): F.coalesce(F.length(c.name) > c.max_length, F.lit(False))
+        ("length", spec.name, c.name): f"coalesce(length({_name(c.name)}) > {c.max_length}, false)"
         for c in spec.bounded
     }
-    every = F.array(*said)
+    every = f"array({', '.join(said)})"
     if tests:
-        broken = [
-            F.when(test, _entry(_NUMBER[rule], F.lit(None), F.lit(""), 0))
-            for rule, test in tests.items()
-        ]
-        any_broken = reduce(Column.__or__, tests.values())
         # most rows break nothing, so the list of breaches is built for the others alone
-        every = F.when(any_broken, F.concat(every, F.array_compact(F.array(*broken)))).otherwise(every)
-    return df.select(F.inline(every)).where("number IS NOT NULL OR text IS NOT NULL")
+        broken = [f"IF({test}, {_entry(_NUMBER[rule], 'NULL', repr(''), 0)}, NULL)" for rule, test in tests.items()]
+        listed = f"concat({every}, array_compact(array({', '.join(broken)})))"
+        every = f"IF({' OR '.join(tests.values())}, {listed}, {every})"
+    return df.selectExpr(f"inline({every})").where("number IS NOT NULL OR text IS NOT NULL")
 
 
 def _added(rows: DataFrame, counts: Iterable[Column]) -> DataFrame:
@@ -131,7 +130,7 @@ def state(tables: Tables) -> DataFrame:
         DataFrame.unionByName,
         [_entries(frames[spec.name], spec, numeric) for spec in SPECS.values()],
     )
-    return _added(rows, [F.count_if(F.col("role") == k).alias(c) for k, c in enumerate(COUNTS)])
+    return _added(rows, [F.expr(f"count_if(role = {k}) AS {c}") for k, c in enumerate(COUNTS)])
 
 
 def merged(*states: DataFrame) -> DataFrame:
@@ -141,18 +140,14 @@ def merged(*states: DataFrame) -> DataFrame:
 
 
 def _per_space(states: DataFrame) -> DataFrame:
-    held = F.col("held")
     figures = [
-        F.sum("held").alias("total"),
-        F.count_if(held > 1).alias("repeated"),
-        F.sum(F.greatest(held - 1, F.lit(0))).alias("excess"),
+        "sum(held) AS total",
+        "count_if(held > 1) AS repeated",
+        "sum(greatest(held - 1, 0)) AS excess",
     ]
     for role, refs in enumerate(REFERENCES, 1):
-        figures += [
-            F.sum(F.when(held == 0, F.col(refs))).alias(f"lost_{role}"),
-            F.sum(held * F.col(refs)).alias(f"matched_{role}"),
-        ]
-    return states.groupBy("space").agg(*figures)
+        figures += [f"sum(IF(held = 0, {refs}, 0)) AS lost_{role}", f"sum(held * {refs}) AS matched_{role}"]
+    return states.groupBy("space").agg(*map(F.expr, figures))
 
 
 def verdicts(states: DataFrame) -> DataFrame:
@@ -160,47 +155,28 @@ def verdicts(states: DataFrame) -> DataFrame:
 
     ``states`` has one row per key, as :func:`state` and :func:`merged` give it.
     """
-    wanted: list[tuple[tuple[str, str, str], list[tuple[int, int, str]]]] = []
-    for name, column in _KEYS:
-        space = _NUMBER["key", name, column]
-        wanted.append((("primary_key", name, column), [(1, space, "excess")]))
-    for name, column in _UNIQUE:
-        space = _NUMBER["unique", name, column]
-        wanted.append((("unique", name, column), [(1, space, "excess")]))
-    wanted += [(rule, [(1, _NUMBER[rule], "total")]) for rule in _RULES]
-    for fk in FOREIGN_KEYS:
-        wanted.append(
-            (
-                ("foreign_key", fk.child, fk.column),
-                [(1, _parent_space(fk.parent), f"lost_{_ROLE[fk]}")],
-            )
-        )
+
+    def figure(space: int, name: str) -> str:
+        return f"coalesce(max({name}) FILTER (WHERE space = {space}), 0)"
+
+    wanted = [(("primary_key", *k), figure(_NUMBER["key", *k], "excess")) for k in _KEYS]
+    wanted += [(("unique", *u), figure(_NUMBER["unique", *u], "excess")) for u in _UNIQUE]
+    wanted += [(rule, figure(_NUMBER[rule], "total")) for rule in _RULES]
+    wanted += [
+        (("foreign_key", fk.child, fk.column), figure(_parent_space(fk.parent), f"lost_{_ROLE[fk]}"))
+        for fk in FOREIGN_KEYS
+    ]
     # cards that meet their account, without those that meet it with the same member
     to_account = _ROLE[ForeignKey(CARD, "id_conta", ACCOUNT)]
-    matched = [(1, _parent_space(ACCOUNT), f"matched_{to_account}"), (-1, _OWNER, "matched_1")]
-    wanted.append((("same_member", CARD, "id_associado"), matched))
-
-    picked = {(space, figure) for _, terms in wanted for _, space, figure in terms}
-    one = _per_space(states).agg(
-        *[
-            F.coalesce(F.max(F.when(F.col("space") == space, F.col(figure))), F.lit(0)).alias(
-                f"{figure}_{space}"
-            )
-            for space, figure in sorted(picked)
-        ]
-    )
-    lines = []
-    for (rule, table, column), terms in wanted:
-        count = reduce(Column.__add__, [F.col(f"{figure}_{space}") * sign for sign, space, figure in terms])
-        lines.append(
-            F.struct(
-                F.lit(rule).alias("regra"),
-                F.lit(table).alias("tabela"),
-                F.lit(column).alias("coluna"),
-                count.cast("bigint").alias("violacoes"),
-            )
-        )
-    return one.select(F.inline(F.array(*lines)))
+    met = figure(_parent_space(ACCOUNT), f"matched_{to_account}")
+    wanted.append((("same_member", CARD, "id_associado"), f"{met} - {figure(_OWNER, 'matched_1')}"))
+
+    one = _per_space(states).agg(*[F.expr(f"{count} AS v{k}") for k, (_, count) in enumerate(wanted)])
+    lines = [
+        f"named_struct('regra', '{rule}', 'tabela', '{table}', 'coluna', '{column}', 'violacoes', v{k})"
+        for k, ((rule, table, column), _) in enumerate(wanted)
+    ]
+    return one.selectExpr(f"inline(array({', '.join(lines)}))")
 
 
 def record(states: DataFrame, load_id: str, path: str) -> None:

@@ -1,8 +1,9 @@
 """The whole batch: check, profile, publish, aggregate, report.
 
 The transactions are read twice: once for the profile, once for the one join that
-both the flat view and the fact are taken from (once more for the rules, where
-these are checked). Everything else reads what was written before.
+both the flat view and the fact are taken from; and once more for the rules, where
+these are checked. Everything else reads what was written before, and the rows of the fact and
+the flat view are counted by the tasks that write them.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from tallylake.operators import (
     star,
     validity,
 )
-from tallylake.plans import history, marts, report
+from tallylake.plans import history, manifest, marts, report
 from tallylake.schema import BUSINESS_KEY, Tables
 from tallylake.sources import files, storage
 from tallylake.workspace import discard, new_folder
@@ -43,9 +44,10 @@ DASHBOARD_TABLES = (
 
 @dataclass(frozen=True)
 class Layout:
-    """Paths of everything a run publishes."""
+    """Paths of everything a run publishes: in ``root``, but for what all runs in ``output`` share."""
 
     root: str
+    output: str | None = None
 
     @property
     def flat_parquet(self) -> str:
@@ -69,7 +71,7 @@ class Layout:
 
     @property
     def history(self) -> str:
-        return f"{self.root}/quality_history"
+        return f"{self.output or self.root}/quality_history"
 
     @property
     def rules(self) -> str:
@@ -136,17 +138,17 @@ def run(
     with_snowflake: bool = False,
     single_csv: bool = False,
 ) -> Outcome:
-    """Run everything and return what was measured. Rerunning replaces the outputs.
+    """Run everything and return what was measured. A rerun takes the place of the run before.
 
-    The report is removed first and written last, so its presence says that the
-    other outputs are complete, also after a run that was cut short. ``strict`` hides card numbers,
-    printed names and e-mails in all that is published. ``check_rules`` publishes the
+    A run has a folder of its own, which the manifest names when all is written; readers go by the
+    manifest, so a run that was cut short leaves the outputs of the run before as they are.
+    ``strict`` hides card numbers, printed names and e-mails in all that is published. ``check_rules`` publishes the
     violations of every rule of the source system. ``single_csv`` writes the brand
     mart's CSV as one file in place of an ordered folder of files.
     """
     spark = tables.movements.sparkSession
-    layout = Layout(output.rstrip("/"))
-    storage.remove(spark, layout.report)
+    output = output.rstrip("/")
+    layout = Layout(manifest.new_run(output), output)
     masked = mask_strict if strict else (lambda df: df)
 
     measured = profile.measure(tables.movements, BUSINESS_KEY)
@@ -167,31 +169,34 @@ def run(
     joined = new_folder(spark, "movements-wide")
     try:
         together = flat.wide(valid, lookup)
-        storage.write_by_month(together, joined, "data_movimentacao")
+        counted = storage.write_by_month(
+            together,
+            joined,
+            "data_movimentacao",
+            counts={"fact": F.count(F.lit(1)), "flat": F.count_if(F.col("complete"))},
+        )
         # the schema is given, since a table without rows has no file to take it from
         wide = spark.read.schema(together.schema.add("mes", "string")).parquet(joined)
-        fact_rows = wide.count()
         # already brought together by month: written on without another shuffle
         fact = flat.fact_of(wide, "mes")
         fact.write.mode("overwrite").partitionBy("mes").parquet(layout.star("fato_movimentacao"))
         storage.write_table(flat.as_contract(flat.view_of(wide)), layout.flat_parquet)
     finally:
         discard(spark, joined)
-    published = spark.read.parquet(layout.flat_parquet)
+    view = spark.read.parquet(layout.flat_parquet)
     if with_csv:
-        storage.write_csv(published, layout.flat_csv)
+        storage.write_csv(view, layout.flat_csv)
     if with_snowflake:
         flakes = snowflake.build(tables)
         write_tables({name: masked(df) for name, df in flakes.items()}, layout.snowflake)
 
-    storage.write_table(marts.brand_mart_of(published), layout.brand_parquet)
+    storage.write_table(marts.brand_mart_of(view), layout.brand_parquet)
     brands = spark.read.parquet(layout.brand_parquet)
     order = [F.desc("valor_total"), F.asc("bandeira_cartao")]
     write_brands = storage.export_csv if single_csv else storage.write_csv_ordered
     write_brands(brands, layout.brand_csv, order)
 
-    flat_rows = published.count()
-    lost = dropped_rows(figures["validas"], fact_rows, flat_rows)
+    lost = dropped_rows(figures["validas"], counted["fact"], counted["flat"])
     storage.write_table(
         spark.createDataFrame(
             lost, "tabela string, linhas_validas bigint, linhas bigint, descartadas bigint"
@@ -201,22 +206,32 @@ def run(
     storage.write_document(spark, document, layout.report)
     if run_id is not None:
         history.record(files.read_report(spark, layout.report), run_id, layout.history)
-    return Outcome(layout, document, flat_rows)
+    manifest.publish(spark, output, layout.root)
+    return Outcome(layout, document, counted["flat"])
+
+
+def published(spark: SparkSession, output: str) -> Layout:
+    """Paths of the run that is published in ``output``; raises when none is."""
+    output = output.rstrip("/")
+    return Layout(manifest.current(spark, output), output)
 
 
 def dashboards(spark: SparkSession, output: str) -> dict[str, DataFrame]:
-    """Dashboard tables by name from a run's outputs; raises when an output is missing."""
-    layout = Layout(output.rstrip("/"))
+    """Dashboard tables by name from the published run; raises when an output is missing."""
+    return _dashboards(spark, published(spark, output))
+
+
+def _dashboards(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     storage.require(spark, [layout.flat_parquet, layout.brand_parquet, layout.report])
-    published = spark.read.parquet(layout.flat_parquet)
+    view = spark.read.parquet(layout.flat_parquet)
     brands = spark.read.parquet(layout.brand_parquet)
     quality = files.read_report(spark, layout.report)
-    kpis = marts.kpi_summary_of(published)
+    kpis = marts.kpi_summary_of(view)
     return {
         "kpi_summary": kpis,
         "kpi_labels": marts.kpi_labels(kpis),
         "brand_mart": brands,
-        "sample_rows": marts.sample_rows(published),
+        "sample_rows": marts.sample_rows(view),
         "quality_headline": report.quality_headline(quality),
         "quality_bars": report.quality_bars(quality),
         "null_ranking": report.null_ranking(quality),
@@ -226,9 +241,9 @@ def dashboards(spark: SparkSession, output: str) -> dict[str, DataFrame]:
 
 
 def write_dashboards(spark: SparkSession, output: str) -> list[str]:
-    """Write every dashboard table below the run's outputs; their paths."""
-    layout = Layout(output.rstrip("/"))
-    tables = dashboards(spark, output)
+    """Write every dashboard table beside the published run's other outputs; their paths."""
+    layout = published(spark, output)
+    tables = _dashboards(spark, layout)
     for name in DASHBOARD_TABLES:
         storage.write_table(tables[name], layout.dashboard(name))
     return [layout.dashboard(name) for name in DASHBOARD_TABLES]

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Quotes inside a value are doubled, as common CSV readers expect, and spaces at
@@ -56,20 +56,62 @@ def require(spark: SparkSession, paths: Iterable[str]) -> None:
         raise FileNotFoundError(f"missing outputs: {', '.join(missing)}")
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it is missing."""
+    fs, target = _path(spark, folder)
+    return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small UTF-8 file."""
+    fs, target = _path(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def write_once(spark: SparkSession, text: str, path: str) -> None:
+    """Write a small file that must not exist yet; it appears with all of its content."""
+    fs, target = _path(spark, path)
+    draft = f"{path}.{uuid.uuid4().hex}"
+    _, staged = _path(spark, draft)
+    stream = fs.create(staged, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if fs.exists(target) or not fs.rename(staged, target):
+        fs.delete(staged, False)
+        raise FileExistsError(f"{path} was written by another run")
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Replace a Parquet table, keeping whatever partitions the plan ends with."""
     df.write.mode("overwrite").parquet(path)
 
 
-def write_by_month(df: DataFrame, path: str, moment: str, month: str = "mes") -> None:
-    """Replace a Parquet table that is partitioned by calendar month.
+def write_by_month(
+    df: DataFrame,
+    path: str,
+    moment: str,
+    month: str = "mes",
+    counts: Mapping[str, Column] | None = None,
+) -> dict[str, int]:
+    """Replace a Parquet table that is partitioned by calendar month; its ``counts``, by name.
 
     REBALANCE brings the rows of a month together, so a month is a few large
     files instead of one sliver per task, and AQE cuts a month that is far
-    bigger than the rest into several tasks.
+    bigger than the rest into several tasks. ``counts`` are aggregates of the rows, observed by the
+    very tasks that write them: nothing is read again, and a task that is run twice counts once.
     """
-    dated = df.withColumn(month, F.date_format(moment, "yyyy-MM"))
-    dated.hint("rebalance", month).write.mode("overwrite").partitionBy(month).parquet(path)
+    dated = df.withColumn(month, F.date_format(moment, "yyyy-MM")).hint("rebalance", month)
+    seen = Observation()
+    if counts:
+        dated = dated.observe(seen, *[value.alias(name) for name, value in counts.items()])
+    dated.write.mode("overwrite").partitionBy(month).parquet(path)
+    return {name: seen.get.get(name) or 0 for name in counts} if counts else {}
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:

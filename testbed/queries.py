@@ -148,7 +148,7 @@ def run_brand_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_chart_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _run(spark, sf_dir)
-    batch.write_dashboards(spark, layout.root)
+    batch.write_dashboards(spark, layout.output)
     return spark.read.parquet(layout.dashboard("chart_points"))
 
 
@@ -171,7 +171,7 @@ def run_dropped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dashboard_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sample as the dashboard gets it: a whole run, then read from its outputs."""
     outcome = batch.run(fixtures.load(spark, sf_dir), new_folder(spark, "run"))
-    shown = batch.dashboards(spark, outcome.layout.root)["sample_rows"]
+    shown = batch.dashboards(spark, outcome.layout.output)["sample_rows"]
     return shown.withColumn(
         "vlr_transacao_movimento", F.col("vlr_transacao_movimento").cast("decimal(15,2)")
     ).withColumn("data_movimentacao", F.col("data_movimentacao").cast("timestamp_ntz"))

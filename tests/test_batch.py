@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from samples import two_members
 from tallylake.operators import flat, profile, snowflake
-from tallylake.plans import batch, history, marts, report
+from tallylake.plans import batch, history, manifest, marts, report
 from tallylake.schema import BUSINESS_KEY, Tables
 from tallylake.sources import files, storage
 from tallylake.workspace import session_folder
@@ -87,7 +87,7 @@ def test_star_outputs(spark, outcome):
 
 
 def test_dashboard_tables(spark, outcome):
-    tables = batch.dashboards(spark, outcome.layout.root)
+    tables = batch.dashboards(spark, outcome.layout.output)
     kpi = tables["kpi_summary"].first()
     assert (kpi.total_registros, kpi.valor_total) == (5807, 306393677.15)
     assert (kpi.associados_distintos, kpi.cartoes_distintos) == (150, 1370)
@@ -113,7 +113,7 @@ def test_dashboard_tables(spark, outcome):
 
 
 def test_dashboards_need_a_finished_run(spark, tmp_path):
-    with pytest.raises(FileNotFoundError, match="data_quality_report.json"):
+    with pytest.raises(FileNotFoundError, match="no finished run"):
         batch.dashboards(spark, str(tmp_path))
 
 
@@ -235,7 +235,7 @@ def test_history_keeps_other_runs(spark, tmp_path):
 def test_strict_run_publishes_nothing_in_clear(spark, tmp_path):
     t = two_members(spark)
     outcome = batch.run(t, str(tmp_path / "out"), strict=True, with_snowflake=True, run_id="a")
-    batch.write_dashboards(spark, outcome.layout.root)
+    batch.write_dashboards(spark, outcome.layout.output)
     secrets = {r.email for r in t.members.collect()}
     secrets |= {x for r in t.cards.collect() for x in (r.num_cartao, r.nom_impresso)}
     published = 0
@@ -274,7 +274,7 @@ def test_many_brands_pass_through_the_batch(spark, tmp_path):
     tables = Tables(member, account, cards, moves, t.interactions)
     outcome = batch.run(tables, str(tmp_path / "out"), check_rules=False)
     assert outcome.flat_rows == n
-    points = batch.dashboards(spark, outcome.layout.root)["chart_points"]
+    points = batch.dashboards(spark, outcome.layout.output)["chart_points"]
     assert points.where("grafico = 'bandeiras'").count() == n
 
 
@@ -282,3 +282,59 @@ def test_wide_table_is_removed_after_the_run(spark, tmp_path):
     batch.run(two_members(spark), str(tmp_path / "out"), check_rules=False, with_csv=False)
     left = Path(session_folder(spark).removeprefix("file:"))
     assert not list(left.glob("movements-wide-*"))
+
+
+def test_a_run_cut_short_leaves_the_one_before_readable(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    full = two_members(spark)
+    first = batch.run(full, out, run_id="a")
+    shown = sorted(map(str, batch.dashboards(spark, out)["sample_rows"].collect()))
+    less = Tables(
+        full.members, full.accounts, full.cards, full.movements.where("id = 9001"), full.interactions
+    )
+
+    def killed(*args, **options):
+        raise RuntimeError("executor lost for good")
+
+    for step in ("write_by_month", "write_csv", "write_csv_ordered", "write_document"):
+        with monkeypatch.context() as patch:
+            patch.setattr(storage, step, killed)
+            with pytest.raises(RuntimeError, match="lost for good"):
+                batch.run(less, out)
+        assert batch.published(spark, out) == first.layout
+        assert sorted(map(str, batch.dashboards(spark, out)["sample_rows"].collect())) == shown
+    last = batch.run(less, out)
+    assert batch.published(spark, out) == last.layout
+    assert batch.dashboards(spark, out)["kpi_summary"].first().total_registros == 1
+
+
+def test_older_runs_go(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for k in range(4):
+        run = f"{out}/runs/r{k}"
+        spark.range(k).write.parquet(f"{run}/t")
+        assert manifest.publish(spark, out, run) == k
+        assert manifest.current(spark, out) == run
+    assert sorted(storage.names(spark, f"{out}/runs")) == ["r2", "r3"]
+    with pytest.raises(FileExistsError):
+        storage.write_once(spark, "{}", f"{out}/manifests/{3:012d}")
+
+
+def test_rows_are_counted_while_written(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "timestampadd(DAY, id, timestamp'2024-01-01') as at")
+    counts = {"rows": F.count(F.lit(1)), "even": F.count_if(F.col("id") % 2 == 0)}
+    assert storage.write_by_month(rows, str(tmp_path / "a"), "at", counts=counts) == {"rows": 1000, "even": 500}
+    none = rows.where("id < 0")
+    assert storage.write_by_month(none, str(tmp_path / "b"), "at", counts=counts) == {"rows": 0, "even": 0}
+
+
+def test_the_batch_runs_no_counting_job(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def counted(self):
+        raise AssertionError("count() is a scan of its own")
+
+    monkeypatch.setattr(DataFrame, "count", counted)
+    done = batch.run(two_members(spark), str(tmp_path / "out"), with_csv=False)
+    lost = {r.tabela: r.linhas for r in spark.read.parquet(done.layout.dropped).collect()}
+    assert done.flat_rows == 3 and lost == {"fato_movimentacao": 3, "movimento_flat": 3}

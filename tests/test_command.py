@@ -1,5 +1,7 @@
 """The command line, with the live readers replaced by small tables."""
 
+from pathlib import Path
+
 import pytest
 
 from samples import two_members
@@ -40,8 +42,10 @@ def test_whole_command(spark, tmp_path, monkeypatch):
     done = command.main(line)
     assert done.flat_rows == 3
     assert kept and not (tmp_path / "snapshot").exists()
-    assert (tmp_path / "out" / "dashboard" / "chart_points.parquet").exists()
-    assert (tmp_path / "out" / "data_quality_report.json").exists()
+    run = Path(done.layout.root)
+    assert run.parent == tmp_path / "out" / "runs"
+    assert (run / "dashboard" / "chart_points.parquet").exists()
+    assert (run / "data_quality_report.json").exists()
     assert dict(asked)["movimentacao"] == relational.KeyRange("id", 1, 9004, 7)
     assert {name for name, _ in asked} == {"associado", "conta", "cartao", "movimentacao"}
 
