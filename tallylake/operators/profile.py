@@ -92,41 +92,75 @@ class Profile:
         }
 
 
-def measure(df: DataFrame, key: Sequence[str], amount: str | None = AMOUNT) -> Profile:
-    """Profile ``df`` in one pass. NULLs in the key compare equal, as in DISTINCT."""
-    columns = tuple(df.columns)
-    unknown = [k for k in key if k not in columns]
-    if unknown or not key:
-        raise ValueError(f"not a key of this table: {list(key)}")
-    place = {name: f"c{i}" for i, name in enumerate(columns)}
-    in_key = [place[k] for k in key]
-    n = F.col("n")
-
-    tests = {f"nulls_{i}": F.col(f"c{i}").isNull() for i in range(len(columns))}
-    uses = {f"nulls_{i}": f"c{i}" for i in range(len(columns))}
-    verdicts = {"valid": F.lit(False), "invalid": F.lit(False), "missing": F.lit(False)}
-    if amount in place:
-        value = F.col(place[amount])
-        verdicts = {"valid": value > 0, "invalid": value <= 0, "missing": value.isNull()}
-        uses |= dict.fromkeys(verdicts, place[amount])
-    tests |= verdicts
-
-    # Tests on key columns are settled per group; only the others travel as counts.
-    loose = {t: c for t, c in tests.items() if uses.get(t) and uses[t] not in in_key}
-    groups = (
-        df.select([_named(name).alias(alias) for name, alias in place.items()])
-        .groupBy(*in_key)
-        .agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(t) for t, c in loose.items()])
+@dataclass(frozen=True)
+class _Tests:
+    """What is counted of a table with these columns, and which of it travels with a key's group."""
+
+    key: tuple[str, ...]
+    all: dict[str, Column]
+    loose: dict[str, Column]
+
+    @classmethod
+    def of(cls, columns: Sequence[str], key: Sequence[str], amount: str | None) -> _Tests:
+        unknown = [k for k in key if k not in columns]
+        if unknown or not key:
+            raise ValueError(f"not a key of this table: {list(key)}")
+        place = {name: f"c{i}" for i, name in enumerate(columns)}
+        in_key = tuple(place[k] for k in key)
+        tests = {f"nulls_{i}": F.col(f"c{i}").isNull() for i in range(len(columns))}
+        uses = {f"nulls_{i}": f"c{i}" for i in range(len(columns))}
+        verdicts = {"valid": F.lit(False), "invalid": F.lit(False), "missing": F.lit(False)}
+        if amount in place:
+            value = F.col(place[amount])
+            verdicts = {"valid": value > 0, "invalid": value <= 0, "missing": value.isNull()}
+            uses |= dict.fromkeys(verdicts, place[amount])
+        tests |= verdicts
+        # Tests on key columns are settled per group; only the others travel as counts.
+        loose = {t: c for t, c in tests.items() if uses.get(t) and uses[t] not in in_key}
+        return cls(in_key, tests, loose)
+
+
+def key_groups(df: DataFrame, key: Sequence[str], amount: str | None = AMOUNT) -> DataFrame:
+    """One row per business key with its rows and counts: the state that :func:`of_groups` reports from.
+
+    Columns are named by their place in the table: ``c0``, ``c1``, ...
+    """
+    tests = _Tests.of(df.columns, key, amount)
+    return (
+        df.select([_named(name).alias(f"c{i}") for i, name in enumerate(df.columns)])
+        .groupBy(*tests.key)
+        .agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(t) for t, c in tests.loose.items()])
     )
+
+
+def merged_groups(
+    groups: DataFrame, columns: Sequence[str], key: Sequence[str], amount: str | None = AMOUNT
+) -> DataFrame:
+    """Groups of several parts of a table as the groups of the whole: a key's counts add up."""
+    tests = _Tests.of(columns, key, amount)
+    return groups.groupBy(*tests.key).agg(*[F.sum(c).alias(c) for c in ("n", *tests.loose)])
+
+
+def of_groups(
+    groups: DataFrame, columns: Sequence[str], key: Sequence[str], amount: str | None = AMOUNT
+) -> Profile:
+    """The profile of a table from its groups, one row per key."""
+    tests = _Tests.of(columns, key, amount)
+    n = F.col("n")
     counts = groups.agg(
         _total(n).alias("total"),
         F.count(F.lit(1)).alias("distinct_keys"),
         *[
-            _total(F.col(t) if t in loose else F.when(test, n).otherwise(0)).alias(t)
-            for t, test in tests.items()
+            _total(F.col(t) if t in tests.loose else F.when(test, n).otherwise(0)).alias(t)
+            for t, test in tests.all.items()
         ],
     )
-    return Profile(columns, counts)
+    return Profile(tuple(columns), counts)
+
+
+def measure(df: DataFrame, key: Sequence[str], amount: str | None = AMOUNT) -> Profile:
+    """Profile ``df`` in one pass. NULLs in the key compare equal, as in DISTINCT."""
+    return of_groups(key_groups(df, key, amount), df.columns, key, amount)
 
 
 def null_counts(df: DataFrame) -> Profile:

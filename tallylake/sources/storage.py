@@ -12,6 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Quotes inside a value are doubled, as common CSV readers expect, and spaces at
 # either end of a value are kept.
@@ -87,6 +88,11 @@ def write_once(spark: SparkSession, text: str, path: str) -> None:
         raise FileExistsError(f"{path} was written by another run")
 
 
+def schema_of(text: str) -> T.StructType:
+    """A schema from its JSON form."""
+    return T.StructType.fromJson(json.loads(text))
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Replace a Parquet table, keeping whatever partitions the plan ends with."""
     df.write.mode("overwrite").parquet(path)

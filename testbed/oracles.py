@@ -607,6 +607,9 @@ ORACLES |= {
     "run_chart_points": ORACLES["chart_series"],
     "run_rules": ORACLES["check_all"],
     "check_all_by_load": ORACLES["check_all"],
+    "merge_touched_buckets": ORACLES["idempotent_merge"],
+    "dedup_by_load": ORACLES["dedup_movements"],
+    "quality_report_by_load": ORACLES["quality_report"],
     "run_dropped_rows": _with(
         BROKEN,
         """SELECT tabela, validas AS linhas_validas, linhas, validas - linhas AS descartadas

@@ -16,8 +16,10 @@ from tallylake.operators import (
     flat,
     interactions,
     key_states,
+    keyed_table,
     profile,
     reload,
+    seen_keys,
     snowflake,
     star,
     validity,
@@ -219,9 +221,7 @@ def distinct_business_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.distinct_keys(fixtures.movements(spark, sf_dir), BUSINESS_KEY)
 
 
-@query
-def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = _profile(spark, sf_dir).report()
+def _report_lines(row: DataFrame) -> DataFrame:
     shares = F.col("percentual_nulos_por_coluna")
     columns = ("id", *[k for k in BUSINESS_KEY])
     return row.select(
@@ -236,6 +236,11 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report_lines(_profile(spark, sf_dir).report())
+
+
 @query
 def max_null_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.max_null_pct(null_profile(spark, sf_dir))
@@ -516,6 +521,46 @@ def idempotent_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reload.upsert(twice, stale, ["id"], ["data_criacao"])
 
 
+@query
+def merge_touched_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loads of ``idempotent_merge`` into a table of buckets on disk."""
+    target = fixtures.cards(spark, sf_dir)
+    recent = target.where(F.col("data_criacao") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    later = F.col("data_criacao") + F.expr("interval 1 day")
+    renamed = recent.withColumns({"nom_impresso": F.lower("nom_impresso"), "data_criacao": later})
+    earlier = F.col("data_criacao") - F.expr("interval 9 days")
+    stale = target.withColumns({"nom_impresso": F.lit("STALE"), "data_criacao": earlier})
+    path = new_folder(spark, "cards")
+    keyed_table.create(target, path, ["id"], ["data_criacao"], buckets=16)
+    loaded = recent.unionByName(renamed)
+    for batch_rows in (loaded, loaded, stale):
+        keyed_table.merge(spark, path, batch_rows)
+    return keyed_table.read(spark, path)
+
+
+@query
+def dedup_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions in three loads, in order of their ids; the last one is loaded twice."""
+    rows = fixtures.movements(spark, sf_dir)
+    place = F.lower(F.substring("id", 1, 1))
+    index, target = new_folder(spark, "seen-index"), new_folder(spark, "seen-rows")
+    parts = [place < "3", (place >= "3") & (place < "6"), place >= "6"]
+    for number, part in enumerate([*parts, parts[-1]]):
+        seen_keys.load(rows.where(part), f"load-{min(number, 2)}", index, target, BUSINESS_KEY)
+    return seen_keys.read(spark, target)
+
+
+@query
+def quality_report_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of three loads, one of them recorded twice, from their states."""
+    rows = fixtures.movements(spark, sf_dir)
+    path = new_folder(spark, "profile-states")
+    part = F.pmod(F.xxhash64("id"), F.lit(3))
+    for number in (0, 1, 2, 2):
+        history.record_load(rows.where(part == number), f"load-{number}", path, BUSINESS_KEY)
+    return _report_lines(history.profile_of_loads(spark, path, rows.columns, BUSINESS_KEY).report())
+
+
 @query
 def insert_new_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members who hold a card are on file already; then all are loaded with another age, twice over."""

@@ -20,6 +20,9 @@ WRITES = {
     "dashboard_sample",
     "quality_history",
     "check_all_by_load",
+    "merge_touched_buckets",
+    "dedup_by_load",
+    "quality_report_by_load",
 }
 
 
@@ -123,3 +126,12 @@ def test_all_rules_read_each_table_once(spark, lake, confs):
     assert "Join" not in plan and "Sort" not in plan
     # keys, the figures of each key space, and the one row they end in
     assert plan.count("Exchange") == 3
+
+
+@pytest.mark.parametrize("name", ["kpi_summary", "kpi_summary_from_flat"])
+def test_distinct_counts_without_expand(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert "Expand" not in plan and "bitmap_construct_agg" in plan
+    # no column of the stored rows is read by both scans, but for the totals per card
+    scans = re.findall(r"ReadSchema: struct<(.*?)>", plan)
+    assert len(scans) == 2 and not set(scans[0].split(",")) & set(scans[1].split(","))
