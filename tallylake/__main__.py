@@ -19,11 +19,14 @@ from tallylake.sources import documents, files, relational
 from tallylake.workspace import discard, new_folder
 
 
-def live_tables(spark: SparkSession, source: relational.RelationalSource, parts: int) -> S.Tables:
+def live_tables(
+    spark: SparkSession, source: relational.RelationalSource, parts: int, equal_depth: bool = False
+) -> S.Tables:
     """All five live sources; the relational scans are cut over their keys."""
+    place = relational.key_cuts if equal_depth else relational.key_range
 
     def table(name: str):
-        cut = relational.key_range(spark, source, name, parts)
+        cut = place(spark, source, name, parts)
         return relational.read_table(spark, source, name, cut)
 
     return S.Tables(
@@ -41,6 +44,11 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--run-id", help="record the quality figures under this name")
     parser.add_argument("--snapshot-dir", help="keep the copy of the sources here; default: none is kept")
     parser.add_argument("--parts", type=int, default=32, help="parallel reads per table")
+    parser.add_argument(
+        "--equal-depth",
+        action="store_true",
+        help="cut the tables at quantiles of their keys: for keys with gaps or crowded ranges",
+    )
     parser.add_argument(
         "--shuffle-partitions",
         type=int,
@@ -66,7 +74,7 @@ def main(argv: Sequence[str] | None = None) -> batch.Outcome:
     )
     snapshot = options.snapshot_dir or new_folder(spark, "snapshot")
     try:
-        tables = files.land(live_tables(spark, source, options.parts), snapshot)
+        tables = files.land(live_tables(spark, source, options.parts, options.equal_depth), snapshot)
         outcome = batch.run(
             tables,
             options.output_dir,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallylake.operators import interactions, star, validity
 from tallylake.operators.skew import balanced_join
 from tallylake.schema import AMOUNT, Tables
+from tallylake.sources.bucketed import Bucketed
 
 # Fixed values of the output contract, in order.
 COLUMNS = (
@@ -119,6 +120,20 @@ def build(tables: Tables) -> DataFrame:
     return attach(validity.valid_rows(tables.movements), profile_of(tables))
 
 
+def build_bucketed(movements: Bucketed, tables: Tables) -> DataFrame:
+    """The typed flat view from transactions that were written in buckets by card.
+
+    The buckets are joined where they lie: only the card profiles are shuffled. Transactions of heavy cards
+    meet the profiles of those cards, at most one per bucket of the table, in a broadcast.
+    """
+    profile = profile_of(tables)
+    few = profile.join(
+        F.broadcast(movements.heavy_keys), F.col("profile_card") == F.col("heavy_key"), "left_semi"
+    )
+    light = attach(validity.valid_rows(movements.light), profile)
+    return light.unionByName(attach(validity.valid_rows(movements.heavy), F.broadcast(few)))
+
+
 def as_contract(flat: DataFrame) -> DataFrame:
     """The published form, with age, amount and moment as text."""
     return flat.withColumns({c: F.col(c).cast("string") for c in TEXT_COLUMNS})

@@ -5,6 +5,8 @@ Each oracle is ``WITH <the sources it needs> SELECT …``.
 
 from __future__ import annotations
 
+import hashlib
+
 SOURCES = {
     "associado": """
         SELECT c_custkey AS id, substr(c_name, 1, 8) AS nome, c_mktsegment AS sobrenome,
@@ -383,6 +385,17 @@ CHART_POINTS = f"""
            {_colour("percentual_nulos")}
     FROM nulos"""
 
+
+
+def _pseudonym(column: str, kind: str) -> str:
+    """HMAC-SHA-256 under the key of a kind, written out."""
+    own = hashlib.sha256(kind.encode() + b"\0known to the oracle").digest().ljust(64, b"\0")
+    inner, outer = (bytes(b ^ pad for b in own).hex() for pad in (0x36, 0x5C))
+    return (
+        f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({column}))))"
+    )
+
+
 ORACLES: dict[str, str] = {
     "scan_interactions": _with("historico", "SELECT * FROM historico"),
     "parquet_roundtrip": _with("flat", FLAT_TEXT),
@@ -561,6 +574,11 @@ ORACLES: dict[str, str] = {
                   substr(a.email, 1, 1) || '***' || substr(a.email, strpos(a.email, '@')) AS email
            FROM cartao c JOIN associado a ON c.id_associado = a.id""",
     ),
+    "mask_keyed": _with(
+        "associado",
+        f"""SELECT id, nome, {_pseudonym("email", "email")} AS email, {_pseudonym("cpf", "cpf")} AS cpf
+            FROM associado""",
+    ),
     "format_brl": _with(
         "movimentacao",
         f"SELECT id, {_brl('vlr_transacao')} AS valor_formatado FROM movimentacao",
@@ -607,6 +625,7 @@ ORACLES |= {
     "run_chart_points": ORACLES["chart_series"],
     "run_rules": ORACLES["check_all"],
     "check_all_by_load": ORACLES["check_all"],
+    "flat_view_bucketed": ORACLES["flat_view"],
     "merge_touched_buckets": ORACLES["idempotent_merge"],
     "dedup_by_load": ORACLES["dedup_movements"],
     "quality_report_by_load": ORACLES["quality_report"],

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallylake.functions import masking
+from tallylake.functions import masking, pseudonyms
 from tallylake.functions.presentation import brl, percent
 from tallylake.operators import (
     constraints,
@@ -26,13 +26,16 @@ from tallylake.operators import (
 )
 from tallylake.plans import batch, history, marts, report
 from tallylake.schema import BUSINESS_KEY, FOREIGN_KEYS
-from tallylake.sources import documents, files, storage
+from tallylake.sources import bucketed, documents, files, storage
 from tallylake.workspace import new_folder
 from testbed import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Not a secret: the oracle has it too.
+TESTBED_SECRET = b"known to the oracle"
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -264,6 +267,15 @@ def flat_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.build(fixtures.load(spark, sf_dir))
 
 
+@query
+def flat_view_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat view from transactions written in buckets by card."""
+    tables = fixtures.load(spark, sf_dir)
+    path = new_folder(spark, "movements-bucketed")
+    bucketed.write(tables.movements, path, "id_cartao", 8)
+    return flat.build_bucketed(bucketed.read(spark, path), tables)
+
+
 @query
 def flat_contract_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.as_contract(flat.build(fixtures.load(spark, sf_dir)))
@@ -392,6 +404,13 @@ def mask_surname(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def mask_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members' tax ids and e-mails as pseudonyms under a secret of the test bed."""
+    members = fixtures.members(spark, sf_dir)
+    return pseudonyms.mask_keyed(members, TESTBED_SECRET).select("id", "nome", "email", "cpf")
+
+
 @query
 def mask_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stricter masks on every card and its holder's e-mail."""

@@ -8,6 +8,7 @@ import pytest
 from tallylake.operators import constraints, flat, profile, reload, star, validity
 from tallylake.plans import marts
 from tallylake.schema import BUSINESS_KEY, Tables
+from tallylake.sources import bucketed
 from testbed import fixtures
 from testbed.queries import QUERIES
 
@@ -23,6 +24,7 @@ WRITES = {
     "merge_touched_buckets",
     "dedup_by_load",
     "quality_report_by_load",
+    "flat_view_bucketed",
 }
 
 
@@ -135,3 +137,13 @@ def test_distinct_counts_without_expand(spark, sf_dir, name):
     # no column of the stored rows is read by both scans, but for the totals per card
     scans = re.findall(r"ReadSchema: struct<(.*?)>", plan)
     assert len(scans) == 2 and not set(scans[0].split(",")) & set(scans[1].split(","))
+
+
+def test_bucketed_transactions_are_joined_where_they_lie(spark, lake, tmp_path, confs):
+    confs(spark__sql__autoBroadcastJoinThreshold="-1")
+    path = str(tmp_path / "movements")
+    bucketed.write(lake.movements, path, "id_cartao", 8)
+    plan = plan_of(flat.build_bucketed(bucketed.read(spark, path), lake))
+    assert "hashpartitioning(id_cartao" not in plan and "Bucketed: true" in plan
+    light = [line for line in plan.splitlines() if "Bucketed: true" in line]
+    assert len(light) == 1 and "SelectedBucketsCount: 8 out of 8" in light[0]
