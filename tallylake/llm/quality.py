@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallylake.llm.words import GAP_CHARACTERS, word_array
 
-SYMBOL = r"[#*$%&|<>]"
+SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOST_PERCENT = 50  # of a text's words, in lines that fail
@@ -19,7 +19,7 @@ MAX_LOST_PERCENT = 50  # of a text's words, in lines that fail
 # A line ends like prose, in any of the scripts we see, if it ends in one of these.
 TERMINAL = r"""[.!?:;…。！？]["'”’»)\]]*$"""
 # Menus and breadcrumbs: bars, arrows or bullets stand between the items as words of their own.
-SEPARATOR = r"^[|»›>•·/]$"
+SEPARATORS = "|»›>•·/"
 MIN_SEPARATORS = 2
 ITEM_WORDS = 4  # at most so many words for each separator
 SYMBOL_SHARE = 8  # a line fails if every eighth visible character is a symbol
@@ -87,27 +87,32 @@ def repeated_words(words: Column) -> Column:
     return F.when(n < 4, F.lit(0).cast("long")).otherwise(_bound(words, count))
 
 
-def line_words(line: Column) -> Column:
-    return F.size(word_array(line))
+def without(text: Column, characters: str) -> Column:
+    return F.translate(text, characters, "")
 
 
-def bad_line(line: Column) -> Column:
-    """Whether a line is navigation, boilerplate, mostly symbols, or a fragment without punctuation."""
+def described_line(line: Column) -> Column:
+    """(line, n, bad): a line with its number of words and whether it fails.
+
+    A line fails that is navigation, boilerplate, mostly symbols, or a fragment without punctuation.
+    Cheap tests come first: the patterns see short lines only, and letters are counted last.
+    """
     trimmed = F.btrim(line, F.lit(GAP_CHARACTERS))
 
     def judge(words: Column) -> Column:
         n = F.size(words)
-        separators = F.size(F.filter(words, lambda w: w.rlike(SEPARATOR)))
+        separators = F.size(F.filter(words, lambda w: w.isin(*SEPARATORS)))
         visible = F.array_join(words, "")
-        symbols = F.length(visible) - F.length(F.regexp_replace(visible, SYMBOL, ""))
+        symbols = F.length(visible) - F.length(without(visible, SYMBOLS))
         letters = F.length(F.regexp_replace(visible, r"[^\p{L}\p{N}]+", ""))
-        return (
-            ((separators >= MIN_SEPARATORS) & (separators * ITEM_WORDS >= n))
+        bad = (
+            ((n <= SHORT_LINE) & ~trimmed.rlike(TERMINAL))
+            | ((separators >= MIN_SEPARATORS) & (separators * ITEM_WORDS >= n))
             | (symbols * SYMBOL_SHARE >= F.length(visible))
+            | ((n <= BOILERPLATE_WORDS) & trimmed.rlike(BOILERPLATE))
             | (letters * 2 < F.length(visible))
-            | (trimmed.rlike(BOILERPLATE) & (n <= BOILERPLATE_WORDS))
-            | (~trimmed.rlike(TERMINAL) & (n <= SHORT_LINE))
         )
+        return F.struct(line.alias("line"), n.alias("n"), bad.alias("bad"))
 
     return _bound(word_array(trimmed), judge)
 
@@ -135,29 +140,30 @@ def judged(
 
     def measure(words: Column) -> Column:
         lines = lines_with_words(F.col(text))
+        good = F.filter(F.transform(lines, described_line), lambda x: ~x["bad"])
         return F.struct(
             F.size(words).cast("long").alias("n_words"),
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-            (F.length(content) - F.length(F.regexp_replace(content, SYMBOL, "")))
+            (F.length(content) - F.length(without(content, SYMBOLS)))
             .cast("long")
             .alias("n_symbols"),
             _bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
             .cast("long")
             .alias("n_dup_lines"),
             repeated_words(words).alias("n_repeat_words"),
-            F.array_join(F.filter(lines, lambda x: ~bad_line(x)), "\n").alias("clean_text"),
+            good.alias("good"),
         )
 
     def decide(m: Column) -> Column:
         failed = (m["n_words"] < min_words) | (
             100 * m["n_repeat_words"] > max_repeat_percent * m["n_words"]
         )
-        left = line_words(m["clean_text"]).cast("long")
+        left = F.aggregate(m["good"], F.lit(0).cast("long"), lambda total, x: total + x["n"])
         return F.struct(
             *[m[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
             failed.alias("base_failed"),
             left.alias("kept_words"),
-            m["clean_text"].alias("clean_text"),
+            F.array_join(F.transform(m["good"], lambda x: x["line"]), "\n").alias("clean_text"),
             (~failed & (100 * (m["n_words"] - left) <= max_lost_percent * m["n_words"])).alias("kept"),
         )
 
@@ -229,7 +235,7 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM m
 """
 for _name, _value in {
-    "SEPARATOR": SEPARATOR,
+    "SEPARATOR": f"^[{SEPARATORS}]$",
     "BOILERPLATE": BOILERPLATE,
     "TERMINAL": TERMINAL.replace("'", "''"),
     "LONG": str(BOILERPLATE_WORDS),
