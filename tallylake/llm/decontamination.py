@@ -1,8 +1,9 @@
-"""Benchmark decontamination: rare words as seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-grams as seeds, then Smith-Waterman alignment.
 
-The benchmark is a stated query set and is taken in blocks of bounded size, each of
+Seeds are pairs of words at most one word apart, the rarest of each item by their count over all
+documents; they join the texts to the items that are aligned with them. The benchmark is a stated query set and is taken in blocks of bounded size, each of
 which travels with the tasks; the documents stay where they are and nothing is
-shuffled but the counts of the benchmark's own words. Seeds and bounds leave out only what
+shuffled but the counts of the benchmark's own pairs. Seeds and bounds leave out only what
 can't reach the similarity, so the matches are those of full alignment.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -96,9 +97,12 @@ class Block:
     """Some benchmark items, ready to be searched in texts.
 
     A match adds 2 to a score and nothing else adds to it, so an alignment that reaches the
-    similarity asked for matches at least ``need`` of an item's words. A text that holds that many
-    holds one of any ``len(item) - need + 1`` of them, whichever they are: the rarest are the seeds.
-    Two matches in a row that are not neighbours in text and item alike have a cost of 1 at least
+    similarity asked for matches at least ``need`` of an item's words. Between two matches in a row that
+    are more than one word apart, in text or item, lie costs of 2 or more; with a score of
+    ``least`` or more, ``least / 2 - 1`` matches (rounded up) are therefore followed by another at most one
+    word apart on both sides. Each of these is a pair of words that starts at another word of
+    the item, so whichever ``len(item) - 1`` less that number, and one more, of the starts are taken, one of
+    their pairs is in the text: those with the rarest pairs are the seeds. Two matches in a row that are not neighbours in text and item alike have a cost of 1 at least
     between them, so m matches and b pairs of neighbours score no more than m + b + 1.
     """
 
@@ -113,7 +117,29 @@ class Block:
         self.least = np.array([int(np.ceil(MATCH * minimum(n) * n)) for n in sizes], np.int64)
         self.words = Bags([x for _, x in self.items])
         self.pairs = Bags([self._pairs(x) for _, x in self.items])
-        self.choose_seeds(np.zeros(len(self.ids) + 1, np.int64))
+        self.has_single = min(sizes) == 1
+        self.grams = np.unique(np.concatenate([self._grams(x).ravel() for _, x in self.items]))
+        self.choose_seeds(np.zeros(len(self.grams), np.int64))
+
+    def _grams(self, numbers: np.ndarray) -> np.ndarray:
+        """Codes of an item's pairs, a row per first word; the code of the word itself if it is the only one."""
+        if len(numbers) == 1:
+            return numbers[:, None]
+        base = len(self.ids) + 1
+        next_one = numbers[:-1] * base + numbers[1:]
+        after_it = np.append(numbers[:-2] * base + numbers[2:], next_one[-1])
+        return np.column_stack([next_one, after_it])
+
+    def codes(self, numbers: np.ndarray) -> np.ndarray:
+        """The codes of a text's pairs, of neighbours and of words with one between."""
+        base = len(self.ids) + 1
+        at = np.flatnonzero(numbers)  # pairs of known words only
+        known = numbers[at]
+        found = [known] if self.has_single else []
+        for apart in (1, 2):  # known words at most two places apart are at most two known words apart
+            near = np.flatnonzero(at[apart:] - at[:-apart] <= 2)
+            found.append(known[near] * base + known[near + apart])
+        return np.concatenate(found)
 
     def _pairs(self, numbers: np.ndarray) -> np.ndarray:
         """Codes of the neighbouring words of a text that are both the block's."""
@@ -121,32 +147,42 @@ class Block:
         return (first * (len(self.ids) + 1) + second)[(first > 0) & (second > 0)]
 
     def numbers(self, text: str | None) -> np.ndarray:
+        """The numbers of a text's words that are the block's, 0 for the others."""
         words = words_of(text)
-        get = self.ids.get
-        return np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+        return np.fromiter(map(self.ids.get, words, repeat(0)), np.int64, len(words))
 
-    def counts(self, text: str | None) -> np.ndarray:
-        """The numbers of a text's words that are the block's, 0 for the others."""
-        return np.bincount(self.numbers(text), minlength=len(self.ids) + 1)
+    def held_grams(self, text: str | None) -> np.ndarray:
+        """The places among ``grams`` of those that a text holds, each as often as it does."""
+        codes = self.codes(self.numbers(text))
+        place = np.minimum(np.searchsorted(self.grams, codes), len(self.grams) - 1)
+        return place[self.grams[place] == codes]
 
     def choose_seeds(self, frequency: np.ndarray) -> None:
-        """Per item its rarest words, so many that no text with ``need`` words lacks them all."""
-        words, owners = [], []
+        """Per item the pairs of its rarest first words, so many that no match lacks them all."""
+        codes, owners = [], []
         for k, (_, numbers) in enumerate(self.items):
-            rarest = numbers[np.lexsort((numbers, frequency[numbers]))]
-            seeds = np.unique(rarest[: len(numbers) - int(self.need[k]) + 1])
-            words.append(seeds)
+            grams = self._grams(numbers)
+            often = frequency[np.searchsorted(self.grams, grams)].sum(axis=1)
+            near = max(1, -(-int(self.least[k]) // 2) - 1) if len(numbers) > 1 else 1
+            rarest = np.argsort(often, kind="stable")[: len(grams) - near + 1]
+            seeds = np.unique(grams[rarest])
+            codes.append(seeds)
             owners.append(np.full(len(seeds), k, np.int64))
-        found, owner = np.concatenate(words), np.concatenate(owners)
+        found, owner = np.concatenate(codes), np.concatenate(owners)
         order = np.argsort(found, kind="stable")
-        self.seed_owner = owner[order]  # by seed word
-        self.seed_at = offsets(np.bincount(found, minlength=len(self.ids) + 1))
+        self.seed_owner = owner[order]  # by seed
+        self.seeds, counts = np.unique(found, return_counts=True)
+        self.seed_at = offsets(counts)
 
     def candidates(self, numbers: np.ndarray) -> np.ndarray:
         """The items of which a text holds a seed and, wherever they stand, enough words and pairs."""
+        codes = np.unique(self.codes(numbers))
+        at = np.minimum(np.searchsorted(self.seeds, codes), len(self.seeds) - 1)
+        at = at[self.seeds[at] == codes]
+        if not len(at):
+            return at
+        items = np.unique(self.seed_owner[runs(self.seed_at[at], self.seed_at[at + 1] - self.seed_at[at])])
         held = np.unique(numbers[numbers > 0], return_counts=True)
-        owners = self.seed_owner[runs(self.seed_at[held[0]], self.seed_at[held[0] + 1] - self.seed_at[held[0]])]
-        items = np.unique(owners)
         words = self.words.shared(items, *held)
         enough = words >= self.need[items]
         items, words = items[enough], words[enough]
@@ -207,22 +243,22 @@ def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Block]:
 
 
 def seeded(docs: DataFrame, text: str, block: Block) -> Block:
-    """``block`` with its seeds chosen by word counts over all documents."""
+    """``block`` with its seeds chosen by how often the documents hold each of its pairs."""
 
     def count(batches: Batches) -> Batches:
-        total = np.zeros(len(block.ids) + 1, np.int64)
+        total = np.zeros(len(block.grams), np.int64)
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                total += block.counts(value)
+                np.add.at(total, block.held_grams(value), 1)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["word", "n"]
+            [pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["gram", "n"]
         )
 
-    rows = map_batches(docs.select(F.col(text).alias("text")), count, "word long, n long")
-    frequency = np.zeros(len(block.ids) + 1, np.int64)
-    for row in rows.groupBy("word").agg(F.sum("n").alias("n")).collect():  # at most a block's words
-        frequency[row["word"]] = row["n"]
+    rows = map_batches(docs.select(F.col(text).alias("text")), count, "gram long, n long")
+    frequency = np.zeros(len(block.grams), np.int64)
+    for row in rows.groupBy("gram").agg(F.sum("n").alias("n")).collect():  # at most a block's pairs
+        frequency[row["gram"]] = row["n"]
     block.choose_seeds(frequency)
     return block
 
