@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallylake.llm.tables import map_batches
+from tallylake.llm.tables import map_batches, written
 
 MAX_TRAINING_ROWS = 20_000  # bound of the labelled sample, the rows of smallest hash
 MAX_FEATURES = 2_000  # bound of the vocabulary, the words that tell most
@@ -191,10 +191,18 @@ def train(
     max_rows: int = MAX_TRAINING_ROWS,
     max_features: int = MAX_FEATURES,
 ) -> Model:
-    """Fit to at most ``max_rows`` learnable labels; without any, every text scores 0."""
+    """Fit to the documents of at most ``max_rows`` learnable labels; without any, every text scores 0.
+
+    Rows that share a doc_id are one document, with the smallest of their texts, so no more than
+    ``max_rows`` texts are learned from, however often an id occurs.
+    """
     wanted = F.broadcast(training_rows(labels, doc_id, label, max_rows))  # 16 bytes a row
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sample = texts.join(wanted, "doc_id").select("doc_id", "text", "y")
+    # an id that many rows hold is one document here, with the smallest of its texts
+    sample = texts.join(wanted, "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.first("y").alias("y")
+    )
+    sample = written(sample, "toxicity-sample")
     vocabulary = _vocabulary(sample, max_features)
     rows = _bags(sample, vocabulary)
     if not rows:
