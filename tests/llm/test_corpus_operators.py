@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallylake.llm import (
     decontamination,
@@ -363,6 +364,130 @@ def test_private_data_matches_the_base_patterns(spark):
         assert set(base) <= set(r.spans.split(",") if r.spans else [])
 
 
+def luhn_ok(value):
+    digits = [int(c) for c in value if c.isdigit()]
+    doubled = [d * 2 - 9 if d > 4 else d * 2 for d in digits[-2::-2]]
+    return (sum(digits[-1::-2]) + sum(doubled)) % 10 == 0
+
+
+def may_be_added(kind, value):
+    n = sum(c in "0123456789" for c in value)
+    if kind == "ip":
+        numbers = re.findall("[0-9]+", value)
+        return len(numbers) == 4 and all(int(x) <= 255 for x in numbers)
+    if kind == "card":
+        return 12 <= n <= 19 and luhn_ok(value)
+    if kind == "phone":
+        return 9 <= n <= 15
+    plain = re.sub(r"\s?[\[({]\s?(?:at|AT|@)\s?[\])}]\s?|\s(?:at|AT)\s|\s?@\s?", "@", value)
+    plain = re.sub(r"\s?[\[({]\s?(?:dot|DOT|\.)\s?[\])}]\s?|\s(?:dot|DOT)\s", ".", plain)
+    return re.fullmatch(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", plain) is not None
+
+
+def edge(c):
+    return 2 if c.isalnum() else 1 if c.strip() else 0
+
+
+def proposals(text):
+    """(features, start, stop) of every proposal that the check allows and no base span overlaps."""
+    base = [tuple(map(int, b.split(":")[1:])) for b in base_spans(text)]
+    for number, kind in enumerate(BASE):
+        matches = list(re.finditer(private_data.GENERATORS[kind], text))
+        for k, m in enumerate(matches):
+            if not may_be_added(kind, m.group()) or any(a < m.end() and m.start() < z for a, z in base):
+                continue
+            last = matches[k - 1].end() if k else 0
+            upcoming = matches[k + 1].start() if k + 1 < len(matches) else len(text)
+            before = text[max(last, m.start() - 24) : m.start()]
+            after = text[m.end() : min(m.end() + 1, upcoming)]
+            rest = re.sub("[A-Za-z0-9]+", "", m.group())
+            features = {
+                "kind": number,
+                "separators": 0 if not rest else 1 if re.fullmatch("[ -]+", rest) else 2 if re.fullmatch("[@._%+-]+", rest) else 3,
+                "before": edge(before[-1:]),
+                "after": edge(after),
+                "cue": int(re.search(private_data.CUES[kind], before) is not None),
+                "marked": 2 if re.search(r"[:=#]\s*$", before) else 1 if re.search(r"""["'(<\[]$""", before) else 0,
+            }
+            yield features, m.start(), m.end()
+
+
+def test_added_spans_are_those_the_trees_accept(spark):
+    rng = random.Random(8)
+
+    def phone(prefix):
+        return prefix + f"{rng.randrange(100, 999)} {rng.randrange(100, 999)} {rng.randrange(1000, 9999)}"
+
+    texts = []
+    for i in range(900):
+        word = prose(2, i)
+        texts.append(
+            rng.choice(
+                [
+                    f"{word} phone: {phone('+49 ')}, mail to ana{i}@mail.org now",
+                    f"{word} call {phone('+1 ')} or write bob{i}@mail.org",
+                    f"{word} in {rng.randrange(10, 99)}.{rng.randrange(10, 99)} of {rng.randrange(1000, 2030)}-11-{rng.randrange(10, 28)} {word}",
+                    f"{word} user@{word.split()[0]} and version 1.{i}.{rng.randrange(9)} for @{word.split()[1]}",
+                    f"{word} host 10.{i % 250}.3.4 took {rng.randrange(100, 999)}.{rng.randrange(10)} s",
+                ]
+            )
+        )
+    texts += [f"phone: 030 {k}55 1234 {k}" for k in range(10)] + [f"x 030 {k}55 1234 x" for k in range(10)]
+    texts += ["mail ana [at] mail [dot] org", "bob at mail dot org", "mail a (at) b", "host 10 . 1 . 2 . 3 x", "10.1.2.3.4 030 555 1234"]
+    texts += ["phone: 030 555 1234 +49 301 555 1234 phone: 040 555 1234", None, ""]
+    docs = documents(spark, texts)
+    found = docs.select("doc_id", private_data.candidates(docs["text"]).alias("spans"))
+    detector = private_data.train(found, private_data.half_of(found["doc_id"]))
+    assert any(t <= 1 for t in detector.thresholds)  # a kind with evidence on both sides
+    assert detector.thresholds[2] > 1  # no card was seen
+    added = refused = 0
+    for r in private_data.detected(docs).collect():
+        text = texts[r.doc_id] or ""
+        want = [(int(s.split(":")[1]), list(BASE).index(s.split(":")[0]), int(s.split(":")[2])) for s in base_spans(text)]
+        for features, start, stop in proposals(text):
+            if detector.trees.of(features) >= detector.thresholds[features["kind"]]:
+                want.append((start, features["kind"], stop))
+                added += 1
+            else:
+                refused += 1
+        assert r.spans == ",".join(f"{list(BASE)[k]}:{a}:{z}" for a, k, z in sorted(want)), text
+    assert added >= 5 and refused >= 5
+
+
+def test_trees_see_nothing_of_the_checks():
+    assert not {"digits", "luhn", "octets"} & set(private_data.FEATURES)
+
+
+def test_texts_of_very_many_matches(spark):
+    many = " ".join(f"10.{i % 256}.{i // 256}.7" for i in range(20_000))
+    mixed = "".join(rng_piece for i in range(3_000) for rng_piece in (f"é🙂 {i} ", f"a{i}@b.co,10.0.0.{i % 256} +49 30 555 {i:04d}x"))
+    docs = documents(spark, [many, mixed, "plain " * 50_000])
+    rows = {r.doc_id: r for r in private_data.detected(docs).collect()}
+    assert rows[0].n_ip == 20_000 and rows[2].spans == ""
+    want = base_spans(mixed)
+    assert rows[1].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+    clean = {r.doc_id: r.text for r in private_data.redacted(docs).collect()}
+    assert clean[0] == " ".join(["[IP]"] * 20_000) and clean[2] == "plain " * 50_000
+    upto, out = 0, []
+    spans = [s.split(":") for s in rows[1].spans.split(",")]
+    for kind, start, stop in [(k, int(a), int(z)) for k, a, z in spans]:
+        if start >= upto:
+            out += [mixed[upto:start], f"[{kind.upper()}]"]
+        upto = max(upto, stop)
+    assert clean[1] == "".join(out) + mixed[upto:]
+
+
+def test_running_sums_and_maxima(spark):
+    for n in (0, 1, 63, 64, 65, 4_095, 4_097, 9_000):
+        values = [(7 * k) % 1000 for k in range(n)]
+        row = spark.createDataFrame([(values,)], "v array<int>").select(
+            private_data.running(F.col("v"), lambda a, x: a + x, F.lit(0)).alias("sums"),
+            private_data.running(F.col("v"), lambda a, x: F.greatest(a, x), F.lit(-1)).alias("most"),
+        ).first()
+        assert row.sums == [sum(values[:k]) for k in range(n)] if n < 5000 else row.sums[-1] == sum(values[:-1])
+        assert row.most == [max(values[:k], default=-1) for k in range(n)]
+
+
 def test_redaction_takes_the_spans_out(spark):
     docs = documents(spark, ["write to ana@mail.org now", None, "clean", "10.0.0.1"])
     got = private_data.redacted(docs)
@@ -396,6 +521,37 @@ def test_toxicity_learns_from_labels_it_may_see(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
 
 
+def test_repeated_ids_do_not_widen_the_sample(spark, monkeypatch):
+    texts = [f"good words {i}. more of them." if i % 2 else f"vile scum {i}. words." for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(7, f"z{k} again") for k in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 1, 1 - i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    seen = []
+    ascend = toxicity._ascend
+    monkeypatch.setattr(toxicity, "_ascend", lambda bags, size: seen.extend(bags) or ascend(bags, size))
+    model = toxicity.train(docs, labels)
+    learnable = {i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert sorted(r["doc_id"] for r in seen) == sorted(learnable)
+    once = toxicity.train(docs.filter("text not like 'z%'"), labels)
+    assert (model.bias, model.weights) == (once.bias, once.weights)
+
+
+def test_scores_are_noisy_or_over_sentences(spark):
+    weights = {"vile": 9.0, "scum": 2.0, "kind": -3.0}
+    model = toxicity.Model(-4.0, weights)
+    texts = ["Vile scum. Fine day.", "vile\n\nkind vile! scum?", "no known word here. None here", "", None, "...", "scum " * 50]
+    for r in toxicity.score(documents(spark, texts), model).collect():
+        text = texts[r.doc_id] or ""
+        doubt = 1.0
+        for sentence in toxicity.SENTENCE.findall(text):
+            words = set(toxicity.WORD.findall(sentence.lower()))
+            if words:
+                known = sum(weights.get(f, 0.0) for w in words for f in toxicity.features(w))
+                doubt *= 1 - 1 / (1 + math.exp(4.0 - known))
+        assert r.score == pytest.approx(1 - doubt, abs=1e-12), text
+        assert r.predicted == int(1 - doubt >= 0.7)
+
+
 @pytest.mark.parametrize("labels", [[], [(0, 1, None), (None, 1, 1), (99, 1, 1)]])
 def test_no_text_is_toxic_without_evidence(spark, labels):
     docs = documents(spark, [". ".join(prose(5, k) for k in range(1000)) + ".", "short", None, ""])
