@@ -35,6 +35,7 @@ HEADLINE = (
     "severity_bands",
     "check_pk",
     "check_fk",
+    "check_all",
     "dedup_movements",
     "idempotent_merge",
 )
