@@ -37,7 +37,9 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op1_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     tree, counts = suffix_tree.train(docs)
-    return suffix_tree.score(docs, tree, counts)
+    scores = suffix_tree.score(docs, tree, counts)
+    tree.discard()
+    return scores
 
 
 @query

@@ -133,6 +133,23 @@ def test_scores_match_a_tree_of_dictionaries(spark, monkeypatch, head, depth):
         assert r.score == pytest.approx(by_hand(texts[r.doc_id]), abs=1e-8), texts[r.doc_id]
 
 
+@pytest.mark.parametrize("slot_bits", [12, 20])
+def test_full_tables_of_slots_lose_nothing(spark, monkeypatch, slot_bits):
+    monkeypatch.setattr(suffix_tree, "SLOT_BITS", slot_bits)  # 12: all slots are full
+    monkeypatch.setattr(suffix_tree, "SLOTS_A_BYTE", 64.0)
+    monkeypatch.setattr(suffix_tree, "HELD", 300)  # counts from many parts of a task
+    texts = [prose(60 + i % 30, i % 40) + f" alone{i} word{i}" for i in range(80)]
+    docs = documents(spark, texts)
+    tree, counts = suffix_tree.train(docs)
+    full = np.unpackbits(tree.repeated[1].view(np.uint8)).mean()
+    assert full > 0.99 if slot_bits == 12 else full < 0.01
+    rows = suffix_tree.score(docs, tree, counts).collect()
+    tree.discard()
+    by_hand = learned_by_hand([texts[r.doc_id] for r in rows if not r.held_out], 2)
+    for r in rows:
+        assert r.score == pytest.approx(by_hand(texts[r.doc_id]), abs=1e-8)
+
+
 def test_a_passage_is_learned_however_large_the_corpus(spark):
     passage = " ".join(f"rare{k}" for k in range(40))
     ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2]
