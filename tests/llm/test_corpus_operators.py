@@ -135,15 +135,15 @@ def test_scores_match_a_tree_of_dictionaries(spark, monkeypatch, head, depth):
 
 
 @pytest.mark.parametrize("slot_bits", [12, 20])
-def test_full_tables_of_slots_lose_nothing(spark, monkeypatch, slot_bits):
-    monkeypatch.setattr(suffix_tree, "SLOT_BITS", slot_bits)  # 12: all slots are full
+def test_shared_slots_lose_nothing(spark, monkeypatch, slot_bits):
+    monkeypatch.setattr(suffix_tree, "SLOT_BITS", slot_bits)  # 12: sequences share slots
     monkeypatch.setattr(suffix_tree, "SLOTS_A_BYTE", 64.0)
     monkeypatch.setattr(suffix_tree, "HELD", 300)  # counts from many parts of a task
     texts = [prose(600 + i % 30, i % 40) + f" alone{i} word{i}" for i in range(80)]
     docs = documents(spark, texts)
     tree, counts = suffix_tree.train(docs)
     full = np.unpackbits(tree.repeated[1].view(np.uint8)).mean()
-    assert full > 0.99 if slot_bits == 12 else full < 0.1
+    assert full > 0.9 if slot_bits == 12 else full < 0.1
     rows = suffix_tree.score(docs, tree, counts).collect()
     tree.discard()
     by_hand = learned_by_hand([texts[r.doc_id] for r in rows if not r.held_out], 2)
