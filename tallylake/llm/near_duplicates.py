@@ -6,18 +6,22 @@ one of its symbols left out, so by pigeonhole all pairs within the signature
 distance meet in a bucket. Buckets give clusters of signatures within that
 distance, and inside the clusters links are confirmed on the full sets.
 
-Neither step lists the pairs of a group. A group is cut into blocks of bounded size and
-each pair of blocks is a unit of work of its own, which puts out a spanning forest: at most one
-edge per member, whatever the number of links.
+Neither step lists the pairs of a group. A group larger than a block is cut into blocks of bounded
+size, each with the group's first member. Members that turn out connected are contracted to one, and the
+rest goes through the same step while that halves it. Only groups that are still in several parts
+are settled by pairs of blocks, and no pair lies inside the largest part. So a group of copies costs as
+much as its members, and only members far from one another cost pairs. Each unit of work puts out a
+spanning forest: at most one edge per member, whatever the number of links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.llm import sketches
@@ -73,27 +77,46 @@ def bucket_keys(classes: DataFrame) -> DataFrame:
     return map_batches(classes.select("node", "signature"), keys, "key long, node long")
 
 
-def block_pairs(members: DataFrame, blocks: str) -> DataFrame:
-    """``members`` (grp, node, ...) repeated for each pair (i, j) of blocks that the row is in.
+def in_blocks(members: DataFrame, block: int) -> DataFrame:
+    """``members`` (grp, node, weight) with the number of blocks their group takes."""
+    sizes = members.groupBy("grp").agg(F.sum("weight").alias("total"))
+    return members.join(sizes.select("grp", _blocks(F.col("total"), block)), "grp")
 
-    ``blocks`` names the column with the group's number of blocks. The usual group is one block and
-    one pair; of a larger one, every two members meet in at least one pair.
-    """
-    own = F.pmod(F.xxhash64("node"), F.col(blocks))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
-    return (
-        members.withColumn("own", own)
-        .withColumn("other", other)
-        .withColumn("i", F.least("own", "other"))
-        .withColumn("j", F.greatest("own", "other"))
-        .drop("own", "other", blocks)
+
+def _blocks(total: Column, block: int) -> Column:
+    return F.ceil(total / block).cast("long").alias("blocks")
+
+
+def blocks_alone(members: DataFrame) -> DataFrame:
+    """Units (grp, i, j) of one block each, with the lightest member of the group in all of them."""
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    first = members.filter("blocks > 1").groupBy("grp").agg(
+        F.min(F.struct("weight", "node"))["node"].alias("node"), F.max("blocks").alias("blocks")
     )
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    first = first.withColumn("i", every).filter(F.col("i") != own)
+    units = members.withColumn("i", own).select("grp", "i", "node").union(first.select("grp", "i", "node"))
+    return units.withColumn("j", F.col("i"))
+
+
+def blocks_across(members: DataFrame) -> DataFrame:
+    """Units (grp, i, j) in which every two members with different labels meet.
+
+    ``members`` has label and, of its group, the heaviest label (main) and the blocks that its members and
+    all others take. Two blocks of the heaviest label never meet.
+    """
+    inside, main, rest = F.col("label") == F.col("main"), F.col("main_blocks"), F.col("rest_blocks")
+    place = F.xxhash64("node")
+    own = F.when(inside, F.pmod(place, main)).otherwise(main + F.pmod(place, rest))
+    low = F.when(inside, main).otherwise(F.lit(0).cast("long"))
+    units = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(low, main + rest - 1)))
+    return units.select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
 
 
 def forests(
-    members: DataFrame, payload: str, spread: Callable[[list[bytes]], Iterator[tuple[int, int]]]
+    members: DataFrame, spread: Callable[[list[bytes]], Iterator[tuple[int, int]]]
 ) -> DataFrame:
-    """Edges (a, b) that ``spread`` finds in each (grp, i, j) of ``members``.
+    """Edges (a, b) that ``spread`` finds in each (grp, i, j) of ``members``, which have a payload.
 
     ``spread`` gets the payloads of one pair of blocks and yields pairs of positions. The rows
     of a pair of blocks come one after the other, so a task holds one such pair at a time.
@@ -134,11 +157,64 @@ def forests(
         if found is not None:
             yield found
 
-    rows = members.select("grp", "i", "j", "node", payload)
+    rows = members.select("grp", "i", "j", "node", "payload")
     rows = rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "node")
     return map_batches(rows, run, "a long, b long")
 
 
+def connecting(
+    members: DataFrame,
+    sizes: DataFrame,
+    payloads: DataFrame,
+    block: int,
+    spread: Callable[[list[bytes]], Iterator[tuple[int, int]]],
+) -> DataFrame:
+    """Edges (a, b) with the same components as all links that ``spread`` would find inside each group.
+
+    ``members``: (grp, node, weight, blocks, payload), ``sizes``: (grp, blocks), ``payloads``:
+    (node, payload) of the members of groups with several blocks, at least.
+    """
+    some = F.lit(0).cast("long")
+    small = members.filter("blocks = 1").withColumn("i", some).withColumn("j", some)
+    found = [written(forests(small, spread).distinct(), "nd-edges")]
+    if sizes.filter("blocks > 1").isEmpty():
+        return found[0]
+    large = written(members.filter("blocks > 1").select("grp", "node", "weight"), "nd-large")
+    step, left = in_blocks(large, block), large.count()
+    near: list[DataFrame] = []
+    while True:
+        units = blocks_alone(step).join(payloads, "node")
+        near.append(written(forests(units, spread).distinct(), "nd-edges"))
+        labels = components(reduce(DataFrame.union, near)).withColumnRenamed("component", "label")
+        named = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        parts = named.groupBy("grp", "label").agg(
+            F.sum("weight").alias("weight"), F.min(F.struct("weight", "node")).alias("first")
+        )
+        parts = written(parts, "nd-parts")
+        open_ = parts.groupBy("grp").agg(
+            F.sum("weight").alias("total"),
+            F.max(F.struct("weight", "label")).alias("top"),
+            F.count("*").alias("parts"),
+        )
+        open_ = written(open_.filter("parts > 1").drop("parts"), "nd-open")
+        parts = parts.join(open_.select("grp"), "grp", "left_semi")
+        before, left = left, parts.count()
+        if not left:
+            return reduce(DataFrame.union, found + near)
+        if 2 * left > before:
+            break
+        step = in_blocks(parts.select("grp", "first.node", "first.weight"), block)
+    of = open_.select(
+        "grp",
+        F.col("top.label").alias("main"),
+        _blocks(F.col("top.weight"), block).alias("main_blocks"),
+        _blocks(F.col("total") - F.col("top.weight"), block).alias("rest_blocks"),
+    )
+    units = blocks_across(named.join(of, "grp")).join(payloads, "node")
+    last = written(forests(units, spread).distinct(), "nd-edges")
+    return reduce(DataFrame.union, [*found, *near, last])
+
+
 def _walk(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
     """Spanning forest of ``n`` members; ``linked(x, others)`` picks those of ``others`` next to x."""
     open_ = np.arange(n)
@@ -241,24 +317,22 @@ def grouped(
     )
     # buckets with several classes; the counts are pre-aggregated, the join splits hot keys
     keys = bucket_keys(classes)
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    blocks = F.ceil(F.col("n") / BUCKET_BLOCK).cast("long").alias("blocks")
-    buckets = keys.join(shared.select("key", blocks), "key").withColumnRenamed("key", "grp")
-    buckets = buckets.join(classes.select("node", "signature"), "node")
-    close = written(
-        forests(block_pairs(buckets, "blocks"), "signature", signature_forest).distinct(), "nd-close"
-    )
-    clusters = components(close)
-
-    weight = clusters.join(classes.select("node", "n_shingles"), "node")
-    weight = weight.groupBy("component").agg(F.sum("n_shingles").alias("total"))
-    blocks = F.ceil(F.col("total") / SET_BLOCK).cast("long").alias("blocks")
-    members = clusters.join(weight.select("component", blocks), "component")
+    shared = keys.groupBy(F.col("key").alias("grp")).agg(F.count("*").alias("n")).filter("n > 1")
+    shared = written(shared.select("grp", _blocks(F.col("n"), BUCKET_BLOCK)), "nd-buckets")
+    signatures = classes.select("node", F.col("signature").alias("payload"))
+    buckets = keys.select(F.col("key").alias("grp"), "node", F.lit(1).cast("long").alias("weight"))
+    buckets = buckets.join(shared, "grp").join(signatures, "node")
+    clusters = components(connecting(buckets, shared, signatures, BUCKET_BLOCK, signature_forest))
+
+    members = clusters.join(classes.select("node", F.col("n_shingles").alias("weight")), "node")
     members = members.withColumnRenamed("component", "grp")
+    sizes = members.groupBy("grp").agg(F.sum("weight").alias("total"))
+    sizes = written(sizes.select("grp", _blocks(F.col("total"), SET_BLOCK)), "nd-clusters")
     sets = full_sets(docs, clusters.select("node"), doc_id, text, shingle_words)
-    sets = sets.join(classes.select("set_key"), "set_key", "left_semi").drop("set_key")
-    sets = written(members.join(sets, "node"), "nd-sets")
-    links = forests(block_pairs(sets, "blocks"), "shingles", set_forest(percent))
+    sets = sets.join(classes.select("set_key"), "set_key", "left_semi")
+    sets = members.join(sizes, "grp").join(sets.select("node", F.col("shingles").alias("payload")), "node")
+    sets = written(sets, "nd-sets")
+    links = connecting(sets, sizes, sets.select("node", "payload"), SET_BLOCK, set_forest(percent))
     # a document with several texts joins their classes
     same = named.select("doc_id", "set_key").distinct().join(classes, "set_key")
     same = same.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))

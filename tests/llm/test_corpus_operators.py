@@ -310,6 +310,38 @@ def test_near_duplicates_match_all_pairs(spark, monkeypatch, blocks):
         assert (got[i].n_shingles, got[i].component_id, got[i].kept) == (size, group, group == i)
 
 
+def test_a_group_of_copies_costs_as_much_as_its_members(spark, monkeypatch):
+    """One group of 20,000 signatures near one another, some far from all, some in parts of their own."""
+    rng = np.random.default_rng(3)
+    n, base = 20_000, rng.integers(0, 1 << 16, 60, dtype=np.uint16)
+    rows = np.tile(base, (n, 1))
+    rows[np.arange(n), rng.integers(0, 60, n)] = rng.integers(0, 1 << 16, n)
+    far = rng.choice(n, 300, replace=False)
+    rows[far] = rng.integers(0, 1 << 16, (300, 60))
+    rows[far[100:]] = rows[far[100]]  # a second part, in many blocks
+    pairs = [(1, int(k), 1, rows[k].tobytes()) for k in range(n)]
+    members = spark.createDataFrame(pairs, "grp long, node long, weight long, payload binary").repartition(8)
+    members = near_duplicates.in_blocks(members, 1_024)
+    moved = []
+    plain = near_duplicates.forests
+
+    def counted(units, spread):
+        moved.append(units.count())
+        return plain(units, spread)
+
+    monkeypatch.setattr(near_duplicates, "forests", counted)
+    edges = near_duplicates.connecting(
+        members, members.select("grp", "blocks").distinct(), members.select("node", "payload"), 1_024,
+        near_duplicates.signature_forest,
+    )
+    got = {r.node: r.component for r in components(edges).collect()}
+    alone, second = set(far[:100].tolist()), set(far[100:].tolist())
+    main = set(range(n)) - alone - second
+    want = {k: min(main) for k in main} | {k: min(second) for k in second}
+    assert got == want
+    assert sum(moved) < 3 * n  # all pairs of the 20 blocks would be 20 * n rows
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
