@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallylake.llm.tables import written
+from tallylake.llm.tables import dropped, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -31,8 +31,11 @@ def components(edges: DataFrame) -> DataFrame:
         target = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
         jumped = stepped.join(target, "label")
         best = F.least("label", "further")
+        before = labels
         labels = written(
             jumped.select("node", best.alias("label"), (best < F.col("old")).alias("moved")),
             "cc-labels",
         )
+        dropped(before)
+    dropped(both)
     return labels.select("node", F.col("label").alias("component"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tallylake.llm import sketches
 from tallylake.llm.components import components
-from tallylake.llm.tables import Batches, map_batches, written
+from tallylake.llm.tables import Batches, dropped, map_batches, written
 
 BUCKET_BLOCK = 2_048  # signatures in a block
 SET_BLOCK = 1 << 20  # shingles in a block
@@ -339,6 +339,7 @@ def grouped(
     repeated = named.groupBy("doc_id").agg(F.count_distinct("set_key").alias("n")).filter("n > 1")
     links = links.union(same.join(repeated, F.col("a") == F.col("doc_id")).select("a", "b"))
     groups = components(links)
+    dropped(sets, sizes, shared)
 
     rows = sketch.join(classes.select("set_key", "node"), "set_key", "left").join(
         groups, "node", "left"
