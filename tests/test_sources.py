@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tallylake import session, workspace
@@ -235,6 +236,48 @@ def test_local_path_on_a_cluster_is_an_error():
     )
 
 
+class ClusterSession:
+    """A session that tells another master; all else is the real one's."""
+
+    def __init__(self, spark, **conf):
+        self.conf = FakeSession(spark__master="spark://host:7077", **conf).conf
+        self._spark = spark
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+
+@pytest.mark.parametrize("setting", ["spark.checkpoint.dir", "spark.sql.warehouse.dir"])
+def test_shared_local_path_on_a_cluster_is_used(spark, tmp_path, setting):
+    session = ClusterSession(spark, **{setting: f"file://{tmp_path}/all"})
+    folder = f"file://{tmp_path}/all" + ("" if "checkpoint" in setting else "/_intermediate")
+    path = workspace.new_folder(session, "x")
+    assert path.startswith(f"{folder}/{spark.sparkContext.applicationId}/x-")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    # nothing of the trial is left
+    assert storage.names(spark, folder) == [spark.sparkContext.applicationId]
+
+
+def test_local_path_that_loses_rows_is_refused(spark, tmp_path, monkeypatch):
+    """As where the driver and some executors have folders of their own under one path."""
+    (tmp_path / "file").write_text("no folder")
+    with pytest.raises(RuntimeError, match="sharedMount"):
+        workspace.new_folder(ClusterSession(spark, spark__checkpoint__dir=f"file://{tmp_path}/file"), "x")
+    whole = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: whole(self, path) or _lose_one(spark, path))
+    session = ClusterSession(spark, spark__checkpoint__dir=f"file://{tmp_path}/own")
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="sharedMount"):
+            workspace.new_folder(session, "x")
+    assert workspace._TRIED[spark.sparkContext.applicationId, f"file://{tmp_path}/own"] is False
+
+
+def _lose_one(spark, path):
+    name = max(n for n in storage.names(spark, path) if n.startswith("part-"))
+    storage.remove(spark, f"{path}/{name}")
+
+
 def test_without_a_named_folder_the_warehouse_is_used():
     session = FakeSession(spark__master="local[2]", spark__sql__warehouse__dir="file:/wh/")
     assert workspace.shared_folder(session) == "file:/wh/_intermediate"
