@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,6 +152,22 @@ def test_shared_slots_lose_nothing(spark, monkeypatch, slot_bits):
         assert r.score == pytest.approx(by_hand(texts[r.doc_id]), abs=1e-8)
 
 
+def test_packed_sequences_add_up_to_their_counts():
+    draw = np.random.default_rng(5)
+    words = draw.integers(0, 1 << 64, 4000, np.uint64)
+    pairs = words[draw.zipf(1.2, (60_000, 2)) % 4000]
+    expected = Counter(map(tuple, pairs.tolist()))
+    pieces = []
+    for part in np.array_split(pairs, 3):
+        keys, at, n = np.unique(suffix_tree.sequence_key(part[:, 0], part[:, 1]), return_index=True, return_counts=True)
+        packed = suffix_tree.pack(keys, np.ascontiguousarray(part[at, 0]), n)
+        assert len(packed) < 12 * len(keys)  # two hashes and a count
+        pieces.append({"level": 1, "bucket": 0, "count": len(keys), "packed": packed})
+    rows = suffix_tree._added_up(pa.Table.from_pylist(pieces)).to_pylist()
+    got = {(r["context"] % (1 << 64), r["suffix"] % (1 << 64)): r["n"] for r in rows}
+    assert len(got) == len(rows) and got == {k: n for k, n in expected.items() if n > 1}
+
+
 def test_a_passage_is_learned_however_large_the_corpus(spark):
     passage = " ".join(f"rare{k}" for k in range(40))
     ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2]
