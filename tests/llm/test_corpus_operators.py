@@ -26,6 +26,7 @@ from tallylake.llm import (
     toxicity,
 )
 from tallylake.llm.components import components
+from tallylake.llm.words import lower_word_hashes, lower_words
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = [f"{a}{b}" for a in ("ba", "ko", "mi", "tu", "re", "sal") for b in ("n", "ra", "lo", "vis", "dek", "mu")]
@@ -168,6 +169,34 @@ def test_packed_sequences_add_up_to_their_counts():
     assert len(got) == len(rows) and got == {k: n for k, n in expected.items() if n > 1}
 
 
+def test_words_hashed_together_are_those_hashed_one_by_one():
+    draw = random.Random(11)
+    pieces = [b" ", b"\t", b"\r\x0c", b"Ab", b"\x00", "É日".encode()] + [b"x" * n for n in (1, 7, 8, 9, 16, 17, 64, 65, 500)]
+    texts = [None if t is None else t.encode() for t in ODD] + [b"a", b"a\x00", b" a ", b"A"]
+    texts += [b"".join(draw.choices(pieces, k=draw.randrange(200))) for _ in range(300)]
+    hashes, counts = lower_word_hashes(texts)
+    words = [lower_words(text) for text in texts]
+    assert counts.tolist() == [len(own) for own in words]
+    pairs = set(zip([w for own in words for w in own], hashes.tolist()))
+    assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+    assert all(lower_word_hashes([w])[0].tolist() == [h] for w, h in list(pairs)[:500]) and max(hashes) < 1 << 63
+
+
+def test_slots_are_packed_and_hashes_found_again():
+    draw = np.random.default_rng(7)
+    slots = np.unique(draw.integers(0, 1 << 22, 5000, np.uint64))
+    twice = draw.random(len(slots)) < 0.2
+    packed = suffix_tree.pack_slots(slots, twice)
+    got, again = suffix_tree.unpack_slots(len(slots), packed)
+    assert (got == slots).all() and (again == twice).all()
+    assert len(packed) < 2 * len(slots)
+    codes = np.unique(np.append(draw.integers(0, 1 << 64, 3000, np.uint64), np.arange(1 << 40, (1 << 40) + 50, dtype=np.uint64)))
+    wanted = np.append(codes[::-3], draw.integers(0, 1 << 64, 1000, np.uint64))
+    known = {c: k for k, c in enumerate(codes.tolist())}
+    assert suffix_tree.Places(codes).of(wanted).tolist() == [known.get(w, -1) for w in wanted.tolist()]
+    assert suffix_tree.Places(codes[:0]).of(wanted).max() == -1
+
+
 def test_a_passage_is_learned_however_large_the_corpus(spark):
     passage = " ".join(f"rare{k}" for k in range(40))
     ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2]
