@@ -273,6 +273,30 @@ def test_local_path_that_loses_rows_is_refused(spark, tmp_path, monkeypatch):
     assert workspace._TRIED[spark.sparkContext.applicationId, f"file://{tmp_path}/own"] is False
 
 
+@pytest.mark.parametrize("warehouse", ["file://{}/tables", "{}/tables"])
+def test_warehouse_is_used_where_the_named_folder_is_not_shared(spark, tmp_path, warehouse):
+    (tmp_path / "file").write_text("no folder")
+    tables = warehouse.format(tmp_path)
+    conf = {"spark.checkpoint.dir": f"file://{tmp_path}/file", "spark.sql.warehouse.dir": tables}
+    session = ClusterSession(spark, **conf)
+    application = spark.sparkContext.applicationId
+    for _ in range(2):
+        path = workspace.new_folder(session, "x")
+        assert path.startswith(f"{tables}/_intermediate/{application}/x-")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    # nothing of the trials is left
+    assert storage.names(spark, f"{tables}/_intermediate") == [application]
+    assert (tmp_path / "file").read_text() == "no folder"
+
+
+def test_neither_folder_shared_is_an_error(spark, tmp_path):
+    (tmp_path / "file").write_text("no folder")
+    conf = {"spark.checkpoint.dir": f"file://{tmp_path}/file", "spark.sql.warehouse.dir": f"file://{tmp_path}/file"}
+    with pytest.raises(RuntimeError, match="sharedMount"):
+        workspace.new_folder(ClusterSession(spark, **conf), "x")
+
+
 def _lose_one(spark, path):
     name = max(n for n in storage.names(spark, path) if n.startswith("part-"))
     storage.remove(spark, f"{path}/{name}")
