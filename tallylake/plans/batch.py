@@ -1,9 +1,9 @@
 """The whole batch: check, profile, publish, aggregate, report.
 
-The transactions are read twice: once for the profile, once for the one join that
-both the flat view and the fact are taken from; and once more for the rules, where
-these are checked. Everything else reads what was written before, and the rows of the fact and
-the flat view are counted by the tasks that write them.
+The transactions are read for the profile, for the rules, where these are checked, and for the one
+join that both the flat view and the fact are taken from: large tables in a few rounds, each of which
+reads them and joins a share of the cards, so that one round's shuffles are on disk at a time.
+Everything else reads what was written before, and the joined rows are counted by the tasks that write them.
 """
 
 from __future__ import annotations
@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallylake.functions.masking import mask_strict
 from tallylake.operators import (
@@ -27,7 +28,11 @@ from tallylake.operators import (
 from tallylake.plans import history, manifest, marts, report
 from tallylake.schema import BUSINESS_KEY, Tables
 from tallylake.sources import files, storage
-from tallylake.workspace import discard, new_folder
+from tallylake.workspace import discard, new_folder, shuffles_removed
+
+# With so many valid transactions, they meet their cards in so many rounds.
+ROUNDS = 4
+ROUNDS_FROM = 1_000_000
 
 DASHBOARD_TABLES = (
     "kpi_summary",
@@ -128,6 +133,55 @@ def dropped_rows(valid_rows: int, fact_rows: int, flat_rows: int) -> list[tuple]
     ]
 
 
+def _rounds(tables: Tables, rows: int) -> int:
+    """In how many rounds transactions meet their cards: few rows in one, and keys of two types too."""
+    held, referred = tables.cards.schema["id"].dataType, tables.movements.schema["id_cartao"].dataType
+    alike = held == referred and (isinstance(held, T.IntegralType) or held == T.StringType())
+    return ROUNDS if alike and rows >= ROUNDS_FROM else 1
+
+
+def write_transactions(
+    tables: Tables,
+    members: DataFrame,
+    masked: Callable[[DataFrame], DataFrame],
+    layout: Layout,
+    rounds: int = 1,
+) -> dict[str, int]:
+    """Write the fact and the flat view from one join of valid transactions and cards; their rows, ``fact`` and ``flat``.
+
+    Each of the ``rounds`` joins the cards of its share of ids, hashed, with their transactions and adds to both
+    tables. The shuffle files and the joined rows of one round are gone before the next, so they take only
+    a share of the disk beside the tables themselves.
+    """
+    spark = tables.movements.sparkSession
+    written = {"fact": 0, "flat": 0}
+    for number in range(rounds):
+        mode = "append" if number else "overwrite"
+
+        def due(key: str, number: int = number) -> Column:
+            # not the hash of the id alone: by that one the join spreads the cards of a heavy member
+            return F.pmod(F.xxhash64(F.lit("round"), key), F.lit(rounds)) == number
+
+        lookup = flat.card_lookup(masked(tables.cards.where(due("id"))), tables.accounts, members)
+        # shares first: what else is worked out of a transaction is then worked out in one round only
+        valid = validity.valid_rows(tables.movements.where(due("id_cartao")))
+        together = flat.wide(valid, lookup)
+        joined = new_folder(spark, "movements-wide")
+        try:
+            counted = storage.write_table(
+                together, joined, {"fact": F.count(F.lit(1)), "flat": F.count_if(F.col("complete"))}
+            )
+            # the schema is given, since a table without rows may have no file to take it from
+            wide = spark.read.schema(together.schema).parquet(joined)
+            fact = layout.star("fato_movimentacao")
+            storage.write_by_month(flat.fact_of(wide), fact, "data_movimentacao", mode=mode)
+            storage.write_table(flat.as_contract(flat.view_of(wide)), layout.flat_parquet, mode=mode)
+        finally:
+            discard(spark, joined)
+        written = {name: rows + counted[name] for name, rows in written.items()}
+    return written
+
+
 def run(
     tables: Tables,
     output: str,
@@ -151,63 +205,46 @@ def run(
     layout = Layout(manifest.new_run(output), output)
     masked = mask_strict if strict else (lambda df: df)
 
-    measured = profile.measure(tables.movements, BUSINESS_KEY)
-    figures = measured.report().first()
-    document = measured.document(figures)
-    if check_rules:
-        storage.write_table(constraints.summary(tables), layout.rules)
-
-    valid = validity.valid_rows(tables.movements)
-    counts = interactions.per_member(tables.interactions)
-    storage.write_table(masked(star.dim_member(tables.members, counts)), layout.star("dim_associado"))
-    storage.write_table(star.dim_account(tables.accounts), layout.star("dim_conta"))
-    storage.write_table(masked(star.dim_card(tables.cards)), layout.star("dim_cartao"))
-
-    # the member dimension is already masked and counted: read it back
-    members = spark.read.parquet(layout.star("dim_associado"))
-    lookup = flat.card_lookup(masked(tables.cards), tables.accounts, members)
-    joined = new_folder(spark, "movements-wide")
-    try:
-        together = flat.wide(valid, lookup)
-        counted = storage.write_by_month(
-            together,
-            joined,
-            "data_movimentacao",
-            counts={"fact": F.count(F.lit(1)), "flat": F.count_if(F.col("complete"))},
+    with shuffles_removed(spark):
+        measured = profile.measure(tables.movements, BUSINESS_KEY)
+        figures = measured.report().first()
+        document = measured.document(figures)
+        if check_rules:
+            storage.write_table(constraints.summary(tables), layout.rules)
+
+        counts = interactions.per_member(tables.interactions)
+        storage.write_table(masked(star.dim_member(tables.members, counts)), layout.star("dim_associado"))
+        storage.write_table(star.dim_account(tables.accounts), layout.star("dim_conta"))
+        storage.write_table(masked(star.dim_card(tables.cards)), layout.star("dim_cartao"))
+
+        # the member dimension is already masked and counted: read it back
+        members = spark.read.parquet(layout.star("dim_associado"))
+        written = write_transactions(tables, members, masked, layout, _rounds(tables, figures["validas"]))
+        view = spark.read.parquet(layout.flat_parquet)
+        if with_csv:
+            storage.write_csv(view, layout.flat_csv)
+        if with_snowflake:
+            flakes = snowflake.build(tables)
+            write_tables({name: masked(df) for name, df in flakes.items()}, layout.snowflake)
+
+        storage.write_table(marts.brand_mart_of(view), layout.brand_parquet)
+        brands = spark.read.parquet(layout.brand_parquet)
+        order = [F.desc("valor_total"), F.asc("bandeira_cartao")]
+        write_brands = storage.export_csv if single_csv else storage.write_csv_ordered
+        write_brands(brands, layout.brand_csv, order)
+
+        lost = dropped_rows(figures["validas"], written["fact"], written["flat"])
+        storage.write_table(
+            spark.createDataFrame(
+                lost, "tabela string, linhas_validas bigint, linhas bigint, descartadas bigint"
+            ),
+            layout.dropped,
         )
-        # the schema is given, since a table without rows has no file to take it from
-        wide = spark.read.schema(together.schema.add("mes", "string")).parquet(joined)
-        # already brought together by month: written on without another shuffle
-        fact = flat.fact_of(wide, "mes")
-        fact.write.mode("overwrite").partitionBy("mes").parquet(layout.star("fato_movimentacao"))
-        storage.write_table(flat.as_contract(flat.view_of(wide)), layout.flat_parquet)
-    finally:
-        discard(spark, joined)
-    view = spark.read.parquet(layout.flat_parquet)
-    if with_csv:
-        storage.write_csv(view, layout.flat_csv)
-    if with_snowflake:
-        flakes = snowflake.build(tables)
-        write_tables({name: masked(df) for name, df in flakes.items()}, layout.snowflake)
-
-    storage.write_table(marts.brand_mart_of(view), layout.brand_parquet)
-    brands = spark.read.parquet(layout.brand_parquet)
-    order = [F.desc("valor_total"), F.asc("bandeira_cartao")]
-    write_brands = storage.export_csv if single_csv else storage.write_csv_ordered
-    write_brands(brands, layout.brand_csv, order)
-
-    lost = dropped_rows(figures["validas"], counted["fact"], counted["flat"])
-    storage.write_table(
-        spark.createDataFrame(
-            lost, "tabela string, linhas_validas bigint, linhas bigint, descartadas bigint"
-        ),
-        layout.dropped,
-    )
-    storage.write_document(spark, document, layout.report)
-    if run_id is not None:
-        history.record(files.read_report(spark, layout.report), run_id, layout.history)
-    manifest.publish(spark, output, layout.root)
-    return Outcome(layout, document, counted["flat"])
+        storage.write_document(spark, document, layout.report)
+        if run_id is not None:
+            history.record(files.read_report(spark, layout.report), run_id, layout.history)
+        manifest.publish(spark, output, layout.root)
+        return Outcome(layout, document, written["flat"])
 
 
 def published(spark: SparkSession, output: str) -> Layout:

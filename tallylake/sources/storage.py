@@ -93,9 +93,25 @@ def schema_of(text: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Replace a Parquet table, keeping whatever partitions the plan ends with."""
-    df.write.mode("overwrite").parquet(path)
+def _write_counted(
+    df: DataFrame, path: str, mode: str, counts: Mapping[str, Column] | None, by: Sequence[str] = ()
+) -> dict[str, int]:
+    seen = Observation()
+    if counts:
+        df = df.observe(seen, *[value.alias(name) for name, value in counts.items()])
+    df.write.mode(mode).partitionBy(*by).parquet(path)
+    return {name: seen.get.get(name) or 0 for name in counts} if counts else {}
+
+
+def write_table(
+    df: DataFrame, path: str, counts: Mapping[str, Column] | None = None, mode: str = "overwrite"
+) -> dict[str, int]:
+    """Replace a Parquet table, keeping whatever partitions the plan ends with; its ``counts``, by name.
+
+    ``counts`` are aggregates of the rows, observed by the very tasks that write them: nothing is read
+    again, and a task that is run twice counts once. With the ``mode`` append, rows are added to the table.
+    """
+    return _write_counted(df, path, mode, counts)
 
 
 def write_by_month(
@@ -104,20 +120,16 @@ def write_by_month(
     moment: str,
     month: str = "mes",
     counts: Mapping[str, Column] | None = None,
+    mode: str = "overwrite",
 ) -> dict[str, int]:
-    """Replace a Parquet table that is partitioned by calendar month; its ``counts``, by name.
+    """Replace a Parquet table that is partitioned by calendar month; its ``counts``, as in :func:`write_table`.
 
     REBALANCE brings the rows of a month together, so a month is a few large
     files instead of one sliver per task, and AQE cuts a month that is far
-    bigger than the rest into several tasks. ``counts`` are aggregates of the rows, observed by the
-    very tasks that write them: nothing is read again, and a task that is run twice counts once.
+    bigger than the rest into several tasks.
     """
     dated = df.withColumn(month, F.date_format(moment, "yyyy-MM")).hint("rebalance", month)
-    seen = Observation()
-    if counts:
-        dated = dated.observe(seen, *[value.alias(name) for name, value in counts.items()])
-    dated.write.mode("overwrite").partitionBy(month).parquet(path)
-    return {name: seen.get.get(name) or 0 for name in counts} if counts else {}
+    return _write_counted(dated, path, mode, counts, [month])
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:

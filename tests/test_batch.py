@@ -338,3 +338,80 @@ def test_the_batch_runs_no_counting_job(spark, tmp_path, monkeypatch):
     done = batch.run(two_members(spark), str(tmp_path / "out"), with_csv=False)
     lost = {r.tabela: r.linhas for r in spark.read.parquet(done.layout.dropped).collect()}
     assert done.flat_rows == 3 and lost == {"fato_movimentacao": 3, "movimento_flat": 3}
+
+
+def _shuffle_files(spark):
+    dirs = spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return {p.name for d in dirs for p in Path(d).rglob("shuffle_*")}
+
+
+def _odd_tables(spark):
+    """Forty cards: some twice, some without account, member or id; a member twice, and one who holds half the cards."""
+    t = two_members(spark)
+    member = spark.range(1, 9).selectExpr(
+        "cast(if(id = 8, 7, id) as int) as id", "concat('N', id) as nome", "'Sobrenome' as sobrenome",
+        "cast(30 as int) as idade", "'a@b.test' as email", "concat('111.222.333-0', id) as cpf",
+    )
+    account = spark.range(1, 7).selectExpr(
+        "cast(id as int) as id", "if(id % 2 = 0, 'corrente', 'poupanca') as tipo",
+        "timestamp_ntz '2020-01-01 00:00:00' as data_criacao", "cast(id as int) as id_associado",
+    )
+    card = spark.range(42).selectExpr(
+        "cast(if(id = 41, null, if(id = 40, 3, id)) as int) as id", "concat('44', id) as num_cartao",
+        "'X' as nom_impresso", "if(id % 3 = 0, 'Elo', 'Visa') as bandeira",
+        "timestamp_ntz '2020-01-02 00:00:00' as data_criacao",
+        "cast(if(id % 11 = 0, null, id % 8) as int) as id_conta",
+        "cast(if(id % 2 = 0, 1, id % 9) as int) as id_associado",
+    )
+    move = spark.range(600).selectExpr(
+        "cast(id as int) as id", "cast(if(id % 50 = 0, -1, id + 1) as decimal(15,2)) as vlr_transacao",
+        "'d' as des_transacao",
+        "if(id % 60 = 1, null, timestampadd(DAY, id % 90, timestamp_ntz '2024-01-01 00:00:00')) as data_movimentacao",
+        "cast(if(id % 70 = 3, null, if(id % 4 = 0, 5, id % 45)) as int) as id_cartao",
+    )
+    return Tables(member, account, card, move, t.interactions)
+
+
+def _published(spark, layout):
+    tables = [batch.read_fact(spark, layout.star("fato_movimentacao")), spark.read.parquet(layout.flat_parquet)]
+    return [sorted(map(str, table.collect())) for table in tables]
+
+
+def test_rounds_write_the_rows_of_one_join(spark, tmp_path, monkeypatch):
+    t = _odd_tables(spark)
+    whole = batch.run(t, str(tmp_path / "whole"), with_csv=False)
+    write, at_once = storage.write_by_month, []
+
+    def watched(df, *args, **options):
+        left = Path(session_folder(spark).removeprefix("file:"))
+        at_once.append((len(list(left.glob("movements-wide-*"))), df.count()))
+        return write(df, *args, **options)
+
+    monkeypatch.setattr(batch, "ROUNDS_FROM", 1)
+    monkeypatch.setattr(storage, "write_by_month", watched)
+    parts = batch.run(t, str(tmp_path / "parts"), with_csv=False)
+    fact, view = _published(spark, parts.layout)
+    assert [fact, view] == _published(spark, whole.layout)
+    assert parts.flat_rows == whole.flat_rows == len(view) < len(fact)
+    for name in ("dropped", "rules", "brand_parquet"):
+        one, other = (spark.read.parquet(getattr(o.layout, name)).collect() for o in (whole, parts))
+        assert sorted(map(str, one)) == sorted(map(str, other))
+    # the joined rows of one round at a time, and only a share of all
+    assert [tables for tables, _ in at_once] == [1] * batch.ROUNDS
+    assert sum(rows for _, rows in at_once) == len(fact)
+    assert max(rows for _, rows in at_once) < 0.75 * len(fact)
+
+
+def test_the_batch_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(batch, "ROUNDS_FROM", 1)
+    before = _shuffle_files(spark)
+    batch.run(_odd_tables(spark), str(tmp_path / "out"), run_id="a")
+    assert not _shuffle_files(spark) - before
+
+
+def test_few_rows_and_keys_of_two_types_are_joined_in_one_round(spark):
+    t = two_members(spark)
+    assert batch._rounds(t, batch.ROUNDS_FROM) == batch.ROUNDS
+    assert batch._rounds(t, batch.ROUNDS_FROM - 1) == 1
+    wider = t.cards.withColumn("id", F.col("id").cast("decimal(12,1)"))
+    assert batch._rounds(Tables(t.members, t.accounts, wider, t.movements, t.interactions), 10**9) == 1
