@@ -409,6 +409,13 @@ def test_the_batch_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
     assert not _shuffle_files(spark) - before
 
 
+def test_dashboards_leave_no_shuffle_files(spark, tmp_path):
+    done = batch.run(two_members(spark), str(tmp_path / "out"), check_rules=False, with_csv=False)
+    before = _shuffle_files(spark)
+    assert batch.write_dashboards(spark, done.layout.output)
+    assert not _shuffle_files(spark) - before
+
+
 def test_few_rows_and_keys_of_two_types_are_joined_in_one_round(spark):
     t = two_members(spark)
     assert batch._rounds(t, batch.ROUNDS_FROM) == batch.ROUNDS
